@@ -7,7 +7,11 @@ per token of the second list, so whole texts are compared in O(n*m/64).
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+ColumnOrName = Column | str
 
 
 def lcs_length(left, right) -> int:
@@ -26,6 +30,10 @@ def lcs_length(left, right) -> int:
     return (full ^ row).bit_count()
 
 
-@F.pandas_udf("long")
-def lcs_tokens(left: pd.Series, right: pd.Series) -> pd.Series:
+def _lcs_batch(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([lcs_length(a, b) for a, b in zip(left, right)], dtype="int64")
+
+
+def lcs_tokens(left: ColumnOrName, right: ColumnOrName) -> Column:
+    """Length of the longest common subsequence, Arrow batch by Arrow batch."""
+    return F.pandas_udf(_lcs_batch, T.LongType())(left, right)

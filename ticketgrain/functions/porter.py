@@ -8,9 +8,9 @@ paper.  Only distinct words per Arrow batch are stemmed (see ``stem_words``).
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,7 +38,6 @@ _STEP4 = (
 )
 
 
-@lru_cache(maxsize=65_536)
 def _shape(stem: str) -> str:
     """One letter per character: 'v' vowel, 'c' consonant ('y' is a vowel after a consonant)."""
     shape = ""
@@ -148,9 +147,7 @@ def stem(word: str) -> str:
     return word
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def stem_words(tokens: pd.Series) -> pd.Series:
-    """Stem tokens longer than three characters; each distinct word once per batch."""
+def _stem_batch(tokens: pd.Series) -> pd.Series:
     known: dict[str, str] = {}
 
     def one(token: str) -> str:
@@ -161,3 +158,8 @@ def stem_words(tokens: pd.Series) -> pd.Series:
         return known[token]
 
     return tokens.map(lambda row: [one(t) for t in row])
+
+
+def stem_words(tokens: Column) -> Column:
+    """Stem tokens longer than three characters; each distinct word once per Arrow batch."""
+    return F.pandas_udf(_stem_batch, T.ArrayType(T.StringType()))(tokens)

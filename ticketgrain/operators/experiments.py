@@ -1,7 +1,7 @@
 """Training-run analytics over a table of epochs.
 
 Epoch table: exp, epoch, train_loss, train_acc, val_acc, val_f1_macro (unique per
-exp and epoch).  Run table: exp, name, lr, freeze.
+exp and epoch).  Run table: exp, name, lr, frozen.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ def select_runs(runs: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def unfrozen(summary: DataFrame) -> DataFrame:
-    return summary.filter(~F.col("freeze"))
+    return summary.filter(~F.col("frozen"))
 
 
 def rank_runs(summary: DataFrame) -> DataFrame:
@@ -81,8 +81,8 @@ def top_curves(epochs: DataFrame, summary: DataFrame, k: int = 3, metric: str =
 
 def freeze_comparison(summary: DataFrame) -> DataFrame:
     """Mean best F1 of frozen and unfrozen runs, difference and relative gain."""
-    frozen = F.avg(F.when(F.col("freeze"), F.col("best_val_f1")))
-    free = F.avg(F.when(~F.col("freeze"), F.col("best_val_f1")))
+    frozen = F.avg(F.when(F.col("frozen"), F.col("best_val_f1")))
+    free = F.avg(F.when(~F.col("frozen"), F.col("best_val_f1")))
     return summary.agg(frozen.alias("frozen_f1"), free.alias("unfrozen_f1")).select(
         "frozen_f1",
         "unfrozen_f1",
@@ -111,10 +111,10 @@ def findings(summary: DataFrame) -> DataFrame:
     order = [F.desc("best_val_f1"), F.asc("exp")]
     reverse = [F.asc("best_val_f1"), F.desc("exp")]
     first = summary.orderBy(*order).limit(1).select(
-        F.lit("first").alias("_end"), "name", "lr", "epochs", "freeze"
+        F.lit("first").alias("_end"), "name", "lr", "epochs", "frozen"
     )
     last = summary.orderBy(*reverse).limit(2).select(
-        F.lit("last").alias("_end"), "name", "lr", "epochs", "freeze"
+        F.lit("last").alias("_end"), "name", "lr", "epochs", "frozen"
     )
 
     def of_first(column: str):
@@ -124,7 +124,7 @@ def findings(summary: DataFrame) -> DataFrame:
         of_first("name").alias("best_name"),
         of_first("lr").alias("best_lr"),
         (of_first("epochs") >= V.MANY_EPOCHS).alias("more_epochs_helped"),
-        F.coalesce(F.bool_or(F.when(F.col("_end") == "last", F.col("freeze"))), F.lit(False)).alias(
+        F.coalesce(F.bool_or(F.when(F.col("_end") == "last", F.col("frozen"))), F.lit(False)).alias(
             "freezing_hurt"
         ),
     )

@@ -135,6 +135,18 @@ def global_row_number(
     return numbered.drop("_slot", "_part", "_pos", "_offset")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a table with fewer scan tasks than cores one partition per core.
+
+    A cluster-sized table has more scan tasks than cores and passes unchanged;
+    this only concerns a few small files with costly work per row.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *[F.col(k) for k in keys])
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fail before any job starts when a column is missing."""
     missing = [c for c in columns if c not in df.columns]

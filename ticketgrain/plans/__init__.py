@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("text_plans",)
+FAMILIES = ("profile_plans", "text_plans", "metric_plans", "experiment_plans", "workflow_plans")
 
 
 def all_queries():

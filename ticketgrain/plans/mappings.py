@@ -117,11 +117,11 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber
 """
 RUNS_SQL = """
 SELECT o_orderkey AS exp, 'run-' || o_orderkey AS name,
-       substr(o_orderpriority, 1, 1)::BIGINT * 1e-5 AS lr, o_orderstatus = 'F' AS freeze
+       substr(o_orderpriority, 1, 1)::BIGINT * 1e-5 AS lr, o_orderstatus = 'F' AS frozen
 FROM orders
 """
 SUMMARY_SQL = f"""
-SELECT b.*, r.name, r.lr, r.freeze FROM (
+SELECT b.*, r.name, r.lr, r.frozen FROM (
   SELECT exp, greatest(max(val_f1_macro), 0.0) AS best_val_f1, count(*) AS epochs,
          max(epoch) AS last_epoch, arg_max(val_acc, epoch) AS final_val_acc,
          arg_max(train_acc, epoch) AS final_train_acc, arg_max(train_loss, epoch) AS final_train_loss
@@ -158,7 +158,7 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderkey").alias("exp"),
         F.concat(F.lit("run-"), F.col("o_orderkey").cast("string")).alias("name"),
         (F.substring("o_orderpriority", 1, 1).cast("long") * F.lit(1e-5)).alias("lr"),
-        (F.col("o_orderstatus") == "F").alias("freeze"),
+        (F.col("o_orderstatus") == "F").alias("frozen"),
     )
 
 

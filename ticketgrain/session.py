@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,7 @@ def local_session(app_name: str = "ticketgrain", cpus: int | str = "*", **conf:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
@@ -52,3 +54,8 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="ticketgrain-"))
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/ticketgrain-{name}-{uuid.uuid4().hex}"

@@ -68,11 +68,17 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, arra
 
 
 def load_evaluations(spark: SparkSession, eval_dir: str) -> DataFrame:
-    """Every <model>/evaluation_results.json below the folder: model and its metrics."""
-    path = f"{eval_dir}/*/evaluation_results.json"
-    df = spark.read.schema(schemas.EVALUATION_RESULTS).option("multiLine", True).json(path)
-    model = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/evaluation_results\\.json(/[^/]*)?$", 1)
-    return df.select(model.alias("model"), "aggregated.*")
+    """Results of all models below a folder: the model name and its metrics.
+
+    Reads ``<model>/evaluation_results.json`` (a file, or a folder of part files)
+    and the ``model=<name>`` folders of ``write_results``.
+    """
+    reader = spark.read.schema(schemas.EVALUATION_RESULTS).option("recursiveFileLookup", True)
+    files = reader.option("pathGlobFilter", "*.json").option("multiLine", True).json(eval_dir)
+    file_path = F.url_decode(F.regexp_replace("_metadata.file_path", "\\+", "%2B"))
+    folder = F.regexp_extract(file_path, "([^/]+)/(?:evaluation_results\\.json(?:/[^/]*)?|part-[^/]*)$", 1)
+    model = F.regexp_replace(folder, "^model=", "")
+    return files.select(model.alias("model"), "aggregated.*")
 
 
 def load_results(spark: SparkSession, path: str) -> DataFrame:

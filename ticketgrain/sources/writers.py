@@ -48,6 +48,14 @@ def write_evaluation(aggregate: DataFrame, path: str, mode: str = "error") -> No
     evaluation_record(aggregate).write.mode(mode).json(path)
 
 
+def write_results(models: DataFrame, base: str, mode: str = "error") -> None:
+    """A result folder per model: <base>/model=<name>/, readable by ``load_evaluations``.
+
+    ``models`` has model, aggregated and sample_count.
+    """
+    models.write.mode(mode).partitionBy("model").json(base)
+
+
 def write_experiments(runs: DataFrame, summary: DataFrame, base: str, mode: str = "error") -> None:
     """Nested run records as JSON, the flat summary as CSV."""
     runs.write.mode(mode).json(f"{base}/experiments")
