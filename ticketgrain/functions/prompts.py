@@ -11,9 +11,9 @@ from ticketgrain.functions.text import clean_text
 
 def ticket_input(subject: Column, body: Column) -> Column:
     """Cleaned subject and body under headings; the body alone without a subject."""
-    clean_subject, clean_body = clean_text(subject), clean_text(body)
-    titled = F.concat(F.lit("Subject: "), clean_subject, F.lit("\n\nContent:\n"), clean_body)
-    return F.when(clean_subject != "", titled).otherwise(clean_body)
+    clean_subject = clean_text(subject)
+    heading = F.concat(F.lit("Subject: "), clean_subject, F.lit("\n\nContent:\n"))
+    return F.concat(F.when(clean_subject != "", heading).otherwise(""), clean_text(body))
 
 
 def multi_task_output(

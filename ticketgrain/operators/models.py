@@ -36,22 +36,20 @@ def fit_logistic_regression(
         data = lookup_join(df, weights, [label], "inner")
     else:
         data = df.withColumn(weight, F.lit(1.0))
-    data = data.select(features, label, weight).persist()
-    try:
-        total = data.agg(F.sum(weight)).first()[0]
-        estimator = LogisticRegression(
-            featuresCol=features,
-            labelCol=label,
-            weightCol=weight,
-            family="multinomial",
-            regParam=1.0 / (c * total),
-            elasticNetParam=0.0,
-            standardization=False,
-            maxIter=max_iter,
-        )
-        return estimator.fit(data)
-    finally:
-        data.unpersist()
+    data = data.select(features, label, weight)
+    # Needs the weights alone; the estimator caches the vectors it iterates over.
+    total = data.agg(F.sum(weight)).first()[0]
+    estimator = LogisticRegression(
+        featuresCol=features,
+        labelCol=label,
+        weightCol=weight,
+        family="multinomial",
+        regParam=1.0 / (c * total),
+        elasticNetParam=0.0,
+        standardization=False,
+        maxIter=max_iter,
+    )
+    return estimator.fit(data)
 
 
 def predict(model, df: DataFrame, name: str = "predicted") -> DataFrame:

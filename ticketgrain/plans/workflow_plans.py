@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions import text as tx
 from ticketgrain.operators import classification as cl
-from ticketgrain.operators import features, models
+from ticketgrain.operators import features, models, sampling
 from ticketgrain.operators import workflow as wf
+from ticketgrain.operators.scaling import stage
 from ticketgrain.plans import mappings as m
 from ticketgrain.plans.registry import query, rounded, sql_text, table
 from ticketgrain.session import scratch_path
@@ -163,11 +165,9 @@ def json_roundtrip(spark, sf):
 )
 def split_roundtrip(spark, sf):
     """Write hash parts as partitions and load the validation part alone."""
-    from ticketgrain.operators.sampling import holdout
-
     docs = table(spark, sf, "documents").select("doc_id", "source")
     base = scratch_path(spark, "splits")
-    writers.write_splits(holdout(docs, "doc_id").withColumnRenamed("part", "split"), base, "overwrite")
+    writers.write_splits(sampling.holdout(docs, "doc_id").withColumnRenamed("part", "split"), base, "overwrite")
     return readers.load_split(spark, base, "val").select("doc_id", "source")
 
 
@@ -251,7 +251,8 @@ def _lr_input(spark, sf):
 def lr_lang(spark, sf):
     """Predict the language: TF-IDF vectors, multinomial regression, summary measures."""
     data, tfidf = _lr_input(spark, sf)
-    vectors = tfidf.to_pipeline().transform(data).select("label", "features")
+    # written once, then read by every pass of the fit and by the prediction
+    vectors = stage(tfidf.to_pipeline().transform(data).select("label", "features"))
     classifier = models.fit_logistic_regression(vectors)
     predicted = models.predict(classifier, vectors)
     cells = cl.confusion_counts(predicted, "label", "predicted")
@@ -261,8 +262,6 @@ def lr_lang(spark, sf):
 @query("lr_saved_model")
 def lr_saved_model(spark, sf):
     """Fit and save the whole pipeline, load it, count predictions per class."""
-    from pyspark.ml import PipelineModel
-
     data, tfidf = _lr_input(spark, sf)
 
     def fit():
