@@ -12,7 +12,7 @@ from ticketgrain.operators import features, models, sampling
 from ticketgrain.operators import workflow as wf
 from ticketgrain.operators.scaling import stage
 from ticketgrain.plans import mappings as m
-from ticketgrain.plans.registry import query, rounded, sql_text, table
+from ticketgrain.plans.registry import query, rounded, sql_strip, sql_text, table
 from ticketgrain.session import scratch_path
 from ticketgrain.sources import readers, writers
 from ticketgrain.streaming import intake as streams
@@ -284,7 +284,16 @@ def _echo_predictor():
     return predict
 
 
-@query("scored_prompts")
+_PROMPT_SQL = f"""SELECT doc_id, {sql_text(V.RESPONSE_INSTRUCTION)} AS instruction, text AS input, source AS reference,
+'<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS prompt_end
+FROM documents"""
+
+
+@query(
+    "scored_prompts",
+    f"""SELECT doc_id, instruction, input, {sql_strip("right(prompt_end, 60)")} AS output, reference
+    FROM ({_PROMPT_SQL})""",
+)
 def scored_prompts(spark, sf):
     """Batch scoring of all documents with a caller-supplied predictor."""
     samples = table(spark, sf, "documents").select(
