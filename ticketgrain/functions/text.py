@@ -114,14 +114,19 @@ def bleu_words(text: Column) -> Column:
     return words(F.lower(F.coalesce(text, F.lit(""))))
 
 
+def extend_ngrams(shorter: Column, tokens: Column, n: int) -> Column:
+    """n-grams from the (n-1)-grams: each is paired with the token after it."""
+    count = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0))
+    return F.zip_with(
+        F.slice(shorter, F.lit(1), count),
+        F.slice(tokens, F.lit(n), count),
+        lambda head, tail: F.concat(head, F.lit(" "), tail),
+    )
+
+
 def ngrams(tokens: Column, n: int) -> Column:
-    """Space-joined n-grams, built by pairing each (n-1)-gram with the token after it."""
+    """Space-joined n-grams of a token column."""
     grams = tokens
     for width in range(2, n + 1):
-        count = F.greatest(F.size(tokens) - F.lit(width - 1), F.lit(0))
-        grams = F.zip_with(
-            F.slice(grams, F.lit(1), count),
-            F.slice(tokens, F.lit(width), count),
-            lambda head, tail: F.concat(head, F.lit(" "), tail),
-        )
+        grams = extend_ngrams(grams, tokens, width)
     return grams

@@ -117,17 +117,6 @@ def _without(tokens: Column, stop_words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(list(stop_words)))
 
 
-def tfidf_terms(
-    df: DataFrame,
-    text: str = "text",
-    min_token_chars: int = 1,
-    stop_words: Sequence[str] = (),
-) -> Column:
-    """Array of unigrams and bigrams of a row; stop words go before bigrams are built."""
-    tokens = _without(_tokens(F.col(text), min_token_chars), stop_words)
-    return F.concat(tokens, tx.ngrams(tokens, 2))
-
-
 def term_counts(
     df: DataFrame, row_id: str, text: str = "text", min_token_chars: int = 1, stop_words: Sequence[str] = ()
 ) -> DataFrame:
@@ -137,9 +126,12 @@ def term_counts(
     finds its rows together and needs no further shuffle.
     """
     spread = df.select(row_id, text).repartition(F.col(row_id))
-    terms = tfidf_terms(spread, text, min_token_chars, stop_words)
+    # Stop words go before bigrams are built.  The tokens are a column of their
+    # own, so they are cut out of the text once.
+    tokens = spread.select(row_id, _without(_tokens(F.col(text), min_token_chars), stop_words).alias("_t"))
+    terms = F.concat("_t", tx.ngrams(F.col("_t"), 2))
     return (
-        spread.select(row_id, F.explode(terms).alias("term"))
+        tokens.select(row_id, F.explode(terms).alias("term"))
         .groupBy(row_id, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -46,18 +46,23 @@ def ngram_overlaps(pairs: DataFrame, keys: Sequence[str], use_stemmer: bool = Tr
     ``keys`` identify a pair, so a group is the n-grams of two texts.
     """
     keys = list(keys)
-    spread = pairs.select(*keys, "prediction", "reference").repartition(*[F.col(k) for k in keys])
-    sides = spread.select(*keys, F.posexplode(F.array("prediction", "reference")).alias("_side", "_text"))
-    rouge = tx.rouge_words(F.col("_text"))
-    sides = sides.select(
-        *keys,
-        "_side",
-        (stem_words(rouge) if use_stemmer else rouge).alias("_r"),
-        tx.bleu_words(F.col("_text")).alias("_b"),
-    )
-    families = F.array(
-        *[tx.ngrams(F.col("_r"), n) for n in (1, 2)], *[tx.ngrams(F.col("_b"), n) for n in (1, 2, 3, 4)]
-    )
+
+    def side(number: int, name: str) -> Column:
+        rouge = tx.rouge_words(F.col(name))
+        return F.struct(
+            F.lit(number).alias("_side"),
+            (stem_words(rouge) if use_stemmer else rouge).alias("r1"),
+            tx.bleu_words(F.col(name)).alias("b1"),
+        ).alias(name)
+
+    # Python stemming comes before the shuffle: it would hide the partitioning.
+    tokens = pairs.select(*keys, side(0, "prediction"), side(1, "reference"))
+    spread = tokens.repartition(*[F.col(k) for k in keys])
+    sides = spread.select(*keys, F.inline(F.array("prediction", "reference")))
+    # longer n-grams grow from the shorter ones
+    for name, shorter, words in (("r2", "r1", "r1"), ("b2", "b1", "b1"), ("b3", "b2", "b1"), ("b4", "b3", "b1")):
+        sides = sides.withColumn(name, tx.extend_ngrams(F.col(shorter), F.col(words), int(name[1])))
+    families = F.array("r1", "r2", "b1", "b2", "b3", "b4")
     grams = sides.select(*keys, "_side", F.posexplode(families).alias("_family", "_grams")).select(
         *keys, "_side", "_family", F.explode_outer("_grams").alias("_gram")
     )
