@@ -85,13 +85,14 @@ def encode_padded(
     regrouped per row, which holds at most ``max_len`` of them.
     """
     kept = F.slice(tx.words(F.col(text)), 1, max_len)
-    tokens = df.select(row_id, F.posexplode_outer(kept).alias("_pos", "token"))
-    ids = lookup_join(tokens, vocabulary.select("token", "id"), ["token"], "left")
+    tokens = df.select(row_id, F.posexplode_outer(kept).alias("_pos", "_token"))
+    lookup = vocabulary.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
+    ids = lookup_join(tokens, lookup, ["_token"], "left")
     entry = F.when(
-        F.col("token").isNotNull(),
-        F.struct("_pos", F.coalesce("id", F.lit(V.UNKNOWN_ID)).cast("int").alias("id")),
+        F.col("_token").isNotNull(),
+        F.struct("_pos", F.coalesce("_id", F.lit(V.UNKNOWN_ID)).cast("int").alias("_id")),
     )
-    ordered = F.transform(F.array_sort("_entries"), lambda e: e["id"])
+    ordered = F.transform(F.array_sort("_entries"), lambda e: e["_id"])
     padded = F.concat(ordered, F.array_repeat(F.lit(V.PAD_ID), F.lit(max_len) - F.size("_entries")))
     return (
         ids.groupBy(row_id).agg(F.collect_list(entry).alias("_entries")).select(row_id, padded.alias("ids"))
