@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketgrain.functions import text as tx
-from ticketgrain.operators.scaling import lookup_join, stage
+from ticketgrain.operators.scaling import fits_in_memory, lookup_join, stage
 
 
 def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
@@ -57,6 +57,32 @@ def with_lengths(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def labelled_lengths(
+    docs: DataFrame, labels: DataFrame, row_id: str, label: str, text: str = "text"
+) -> DataFrame:
+    """(label, n_chars, n_words) of the cleaned text of every labelled row.
+
+    Few labels are broadcast, so only labelled texts are cleaned and none moves.
+    Otherwise texts are reduced to two numbers before the shuffle join: the text
+    itself is never shuffled.
+    """
+    pairs = labels.select(row_id, label)
+    texts = docs.select(row_id, text)
+    if fits_in_memory(pairs):
+        joined = texts.join(F.broadcast(pairs), row_id).select(label, text)
+        return _cleaned_lengths(joined, [label], text)
+    return _cleaned_lengths(texts, [row_id], text).join(pairs, row_id).drop(row_id)
+
+
+def _cleaned_lengths(df: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
+    cleaned = df.select(*keep, tx.basic_clean(F.col(text)).alias("_clean"))
+    return cleaned.select(
+        *keep,
+        tx.char_count(F.col("_clean")).alias("n_chars"),
+        tx.word_count(F.col("_clean")).alias("n_words"),
+    )
+
+
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(measure, value, n) of integer columns, nulls left out."""
     pairs = [F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("value")) for c in columns]

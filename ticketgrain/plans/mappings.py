@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketgrain.functions import text as tx
+from ticketgrain.operators.generation import pair_by_key
 from ticketgrain.plans.registry import table
 
 # --- documents as tickets -----------------------------------------------------
@@ -73,7 +74,7 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
     references = turns.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference")
     )
-    return predictions.join(references, PAIR_KEYS)
+    return pair_by_key(predictions, references, PAIR_KEYS)
 
 
 # --- orders as classifier output ----------------------------------------------

@@ -25,14 +25,7 @@ FROM (SELECT quality::BIGINT AS quality, {sql_basic_clean("text")} AS cleaned
 def class_profile(spark, sf):
     """Clean the documents, attach their class and profile each class."""
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("long").alias("quality"))
-    docs = table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id")
-    # lengths right after the join: no text goes past this projection
-    cleaned = docs.select("quality", tx.basic_clean(F.col("text")).alias("cleaned"))
-    lengths = cleaned.select(
-        "quality",
-        tx.char_count(F.col("cleaned")).alias("n_chars"),
-        tx.word_count(F.col("cleaned")).alias("n_words"),
-    )
+    lengths = profiling.labelled_lengths(table(spark, sf, "documents"), labels, "doc_id", "quality")
     return rounded(profiling.class_profile(lengths, "quality"))
 
 

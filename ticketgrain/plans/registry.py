@@ -82,3 +82,10 @@ def sql_basic_clean(expr: str) -> str:
 def sql_clean_text(expr: str) -> str:
     out = f"regexp_replace(coalesce({expr}, ''), '\\n[{WS}]*\\n', chr(10) || chr(10), 'g')"
     return sql_strip(f"regexp_replace({out}, ' +', ' ', 'g')")
+
+
+def sql_prompt(layout: str) -> str:
+    """A prompt layout over the columns instruction and input."""
+    head, rest = layout.split("{instruction}")
+    middle, tail = rest.split("{input}")
+    return f"{sql_text(head)} || instruction || {sql_text(middle)} || input || {sql_text(tail)}"

@@ -11,7 +11,7 @@ from ticketgrain.operators import classification, sampling
 from ticketgrain.operators import tickets as tk
 from ticketgrain.plans import mappings as m
 from ticketgrain.plans.registry import (
-    WS, query, rounded, sql_basic_clean, sql_clean_text, sql_rounded, sql_strip, sql_text, sql_words, table,
+    WS, query, rounded, sql_basic_clean, sql_clean_text, sql_prompt, sql_rounded, sql_strip, sql_text, sql_words, table,
 )
 
 _TICKETS = f"({m.TICKETS_SQL})"
@@ -273,19 +273,13 @@ def sample_counts(spark, sf):
     return tk.sample_counts(tk.instruction_samples(_answered(spark, sf), "response_generation"))
 
 
-def _sql_prompt(layout: str) -> str:
-    head, rest = layout.split("{instruction}")
-    middle, tail = rest.split("{input}")
-    return f"{sql_text(head)} || instruction || {sql_text(middle)} || input || {sql_text(tail)}"
-
-
 _TURNS_SQL = f"""SELECT conv_id, turn, {sql_text(V.RESPONSE_INSTRUCTION)} AS instruction, text AS input
 FROM conversations WHERE role = 'user'"""
 
 
 @query(
     "chat_prompt",
-    f"""SELECT conv_id, turn, {_sql_prompt(V.CHAT_LAYOUT)} AS chat, {_sql_prompt(V.PLAIN_LAYOUT)} AS plain
+    f"""SELECT conv_id, turn, {sql_prompt(V.CHAT_LAYOUT)} AS chat, {sql_prompt(V.PLAIN_LAYOUT)} AS plain
     FROM ({_TURNS_SQL})""",
 )
 def chat_prompt(spark, sf):

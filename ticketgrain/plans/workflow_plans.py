@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from ticketgrain import schemas
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions import text as tx
 from ticketgrain.operators import classification as cl
-from ticketgrain.operators import features, models, sampling
+from ticketgrain.operators import experiments, features, models, sampling
 from ticketgrain.operators import workflow as wf
 from ticketgrain.operators.scaling import stage
 from ticketgrain.plans import mappings as m
-from ticketgrain.plans.registry import query, rounded, sql_strip, sql_text, table
+from ticketgrain.plans.registry import query, rounded, sql_prompt, sql_strip, sql_text, table
 from ticketgrain.session import scratch_path
 from ticketgrain.sources import readers, writers
 from ticketgrain.streaming import intake as streams
@@ -213,6 +214,63 @@ def predictions_roundtrip(spark, sf):
     return readers.read_json_records(spark, path, scored.schema)
 
 
+@query(
+    "evaluation_file",
+    """SELECT round(avg(length(text)), 6) AS avg_pred_length, round(avg(turn), 6) AS avg_ref_length
+    FROM conversations""",
+)
+def evaluation_file(spark, sf):
+    """The aggregate as a result file, unwrapped again."""
+    total = table(spark, sf, "conversations").agg(
+        F.avg(F.length("text")).alias("avg_pred_length"),
+        F.avg("turn").alias("avg_ref_length"),
+        F.count(F.lit(1)).alias("sample_count"),
+    )
+    path = scratch_path(spark, "evaluation")
+    writers.write_evaluation(total, path)
+    return rounded(readers.load_results(spark, path).select("avg_pred_length", "avg_ref_length"))
+
+
+@query(
+    "experiment_files",
+    f"""SELECT exp, epoch, round(train_loss, 9) AS train_loss, round(train_acc, 9) AS train_acc,
+    round(val_acc, 9) AS val_acc, round(val_f1_macro, 9) AS val_f1_macro
+    FROM (SELECT 'run-' || exp AS exp, epoch::INT AS epoch, train_loss, train_acc, val_acc, val_f1_macro
+          FROM ({m.EPOCHS_SQL}))""",
+)
+def experiment_files(spark, sf):
+    """Nested run records and the flat summary through files, epochs exploded again."""
+    epochs = m.epochs(spark, sf)
+    missing = F.lit(None).cast("double")
+    entry = F.struct(
+        F.col("epoch").cast("int").alias("epoch"), "train_loss", "train_acc", missing.alias("train_f1_macro"),
+        "val_acc", "val_f1_macro", missing.alias("val_f1_weighted"),
+    )
+    # a run has as many entries as epochs
+    nested = epochs.groupBy("exp").agg(F.collect_list(entry).alias("epochs"))
+    config = F.struct(F.concat(F.lit("run-"), F.col("exp").cast("string")).alias("name"))
+    base = scratch_path(spark, "experiments")
+    summary = experiments.best_and_last(epochs)
+    writers.write_experiments(nested.select(config.alias("config"), "epochs"), summary, base)
+    back = readers.read_json_records(spark, f"{base}/experiments", schemas.EXPERIMENTS)
+    columns = ["exp", "epoch", "train_loss", "train_acc", "val_acc", "val_f1_macro"]
+    return rounded(experiments.explode_epochs(back).select(*columns), 9)
+
+
+@query(
+    "review_sheet",
+    """SELECT row_number() OVER (ORDER BY doc_id) AS id, substr(text, 1, 500) AS input FROM
+    (SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100)""",
+)
+def review_sheet(spark, sf):
+    """The review template through its CSV file; the first n rows are its purpose."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("input"))
+    sheet = sampling.review_template(docs, "doc_id", 100, columns=("input",))
+    path = scratch_path(spark, "review")
+    writers.write_review(sheet, path)
+    return readers.read_csv(spark, path, sheet.schema).select("id", "input")
+
+
 @query(
     "manifest_upsert",
     """SELECT n_name AS name, 'nation-' || n_nationkey AS file_name, 'old' AS formatting FROM nation
@@ -284,14 +342,13 @@ def _echo_predictor():
     return predict
 
 
-_PROMPT_SQL = f"""SELECT doc_id, {sql_text(V.RESPONSE_INSTRUCTION)} AS instruction, text AS input, source AS reference,
-'<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS prompt_end
+_PROMPT_SQL = f"""SELECT doc_id, {sql_text(V.RESPONSE_INSTRUCTION)} AS instruction, text AS input, source AS reference
 FROM documents"""
 
 
 @query(
     "scored_prompts",
-    f"""SELECT doc_id, instruction, input, {sql_strip("right(prompt_end, 60)")} AS output, reference
+    f"""SELECT doc_id, instruction, input, {sql_strip(f"right({sql_prompt(V.CHAT_LAYOUT)}, 60)")} AS output, reference
     FROM ({_PROMPT_SQL})""",
 )
 def scored_prompts(spark, sf):

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ticketgrain import schemas
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
@@ -48,11 +48,11 @@ def load_split(
 ) -> DataFrame:
     """One split of a processed ticket table: parquet partition or tickets_<split>.csv."""
     partition = f"{base}/split={split}"
-    if _exists(spark, partition):
+    if path_exists(spark, partition):
         # the partition value is pruned from the folder names
         return spark.read.parquet(base).filter(F.col("split") == split)
     path = f"{base}/tickets_{split}.csv"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
     return read_csv(spark, path, schema, na_values)
 
@@ -67,18 +67,37 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, arra
     return spark.read.schema(schema).option("multiLine", array).json(path)
 
 
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Records of one JSON array file with their position as ``sample_id``.
+
+    For files without keys, where the order is the only link between two of them.
+    Larger data carries its keys as JSON lines.
+    """
+    whole = spark.read.option("wholetext", True).text(path)
+    records = F.from_json("value", T.ArrayType(schema))
+    position = whole.select(F.posexplode(records).alias("sample_id", "_r"))
+    return position.select(F.col("sample_id").cast("long").alias("sample_id"), "_r.*")
+
+
 def load_evaluations(spark: SparkSession, eval_dir: str) -> DataFrame:
     """Results of all models below a folder: the model name and its metrics.
 
     Reads ``<model>/evaluation_results.json`` (a file, or a folder of part files)
     and the ``model=<name>`` folders of ``write_results``.
     """
-    reader = spark.read.schema(schemas.EVALUATION_RESULTS).option("recursiveFileLookup", True)
-    files = reader.option("pathGlobFilter", "*.json").option("multiLine", True).json(eval_dir)
-    file_path = F.url_decode(F.regexp_replace("_metadata.file_path", "\\+", "%2B"))
-    folder = F.regexp_extract(file_path, "([^/]+)/(?:evaluation_results\\.json(?:/[^/]*)?|part-[^/]*)$", 1)
-    model = F.regexp_replace(folder, "^model=", "")
-    return files.select(model.alias("model"), "aggregated.*")
+    files = (
+        spark.read.schema(schemas.EVALUATION_RESULTS)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json")
+        .option("multiLine", True)
+        .json(eval_dir)
+    )
+    path = F.url_decode(F.regexp_replace("_metadata.file_path", "\\+", "%2B"))
+    named = F.regexp_extract(path, "([^/]+)/evaluation_results\\.json(?:/[^/]*)?$", 1)
+    written = F.regexp_extract(path, "/model=([^/]+)/part-[^/]*$", 1)
+    model = F.coalesce(F.nullif(named, F.lit("")), F.nullif(written, F.lit("")))
+    # other JSON files below the folder are no results
+    return files.select(model.alias("model"), "aggregated.*").filter(F.col("model").isNotNull())
 
 
 def load_results(spark: SparkSession, path: str) -> DataFrame:
