@@ -170,14 +170,10 @@ def weighted_score(models: DataFrame) -> DataFrame:
 def best_per_metric(models: DataFrame, metrics: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Highest value of each metric and the (alphabetically first) model that has it."""
     rows = unpivot_metrics(models, [*keys, "model"], metrics, "value")
-    # max_by on fixed-width values first, then the name among the winners
-    top = rows.groupBy(*keys, "metric").agg(F.max("value").alias("best"))
-    return (
-        rows.join(top, [*keys, "metric"])
-        .filter(F.col("value") == F.col("best"))
-        .groupBy(*keys, "metric")
-        .agg(F.max("best").alias("best"), F.min("model").alias("model"))
-    )
+    # highest value first, then the name: one aggregation finds both
+    winner = F.min(F.struct((-F.col("value")).alias("_minus"), F.col("model")))
+    best = rows.groupBy(*keys, "metric").agg(winner.alias("_w"))
+    return best.select(*keys, "metric", (-F.col("_w._minus")).alias("best"), F.col("_w.model").alias("model"))
 
 
 def model_ranking(models: DataFrame, metric: str, keys: Sequence[str] = ("family",)) -> DataFrame:

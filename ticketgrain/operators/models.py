@@ -14,6 +14,8 @@ from ticketgrain.functions import prompts
 from ticketgrain.operators.profiling import class_weights
 from ticketgrain.operators.scaling import lookup_join, stage
 
+FIT_ROWS_PER_TASK = 20_000
+
 Predictor = Callable[[pd.Series], pd.Series]
 
 
@@ -28,7 +30,8 @@ def fit_logistic_regression(
     """L2 multinomial regression with inverse strength ``c``.
 
     Spark averages the loss over the row weights while ``c`` multiplies its sum,
-    hence ``regParam = 1 / (c * sum of weights)``.
+    hence ``regParam = 1 / (c * sum of weights)``.  Pass staged vectors: they are
+    read for the weights and once more by the estimator, which then caches them.
     """
     weight = "_weight"
     if balanced:
@@ -37,8 +40,9 @@ def fit_logistic_regression(
     else:
         data = df.withColumn(weight, F.lit(1.0))
     data = data.select(features, label, weight)
-    # Needs the weights alone; the estimator caches the vectors it iterates over.
-    total = data.agg(F.sum(weight)).first()[0]
+    n_rows, total = data.agg(F.count(F.lit(1)), F.sum(weight)).first()
+    # Every pass of the optimiser is a job: do not cut few rows into many tasks.
+    data = data.coalesce(max(1, -(-n_rows // FIT_ROWS_PER_TASK)))
     estimator = LogisticRegression(
         featuresCol=features,
         labelCol=label,

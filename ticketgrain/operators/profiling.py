@@ -189,12 +189,14 @@ def label_distribution(df: DataFrame, label: str) -> DataFrame:
 
 def class_profile(df: DataFrame, label: str, chars: str = "n_chars", words: str = "n_words") -> DataFrame:
     """Count, percentage and mean lengths per class."""
-    per_class = df.groupBy(label).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(chars).alias("mean_chars"),
-        F.avg(words).alias("mean_words"),
+    per_class = stage(
+        df.groupBy(label).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg(chars).alias("mean_chars"),
+            F.avg(words).alias("mean_words"),
+        )
     )
-    # Same aggregate on both sides, so the scalar reuses its shuffle.
+    # The class table is written once, so the total costs no second pass over the rows.
     total = per_class.select(F.sum("n")).scalar()
     return per_class.select(
         label, "n", (F.col("n") * 100.0 / total).alias("pct"), "mean_chars", "mean_words"

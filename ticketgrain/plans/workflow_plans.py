@@ -324,7 +324,7 @@ def lr_saved_model(spark, sf):
 
     def fit():
         steps = tfidf.to_pipeline()
-        vectors = steps.transform(data).select("label", "features")
+        vectors = stage(steps.transform(data).select("label", "features"))
         classifier = models.fit_logistic_regression(vectors, max_iter=50, balanced=True)
         return PipelineModel([*steps.stages, classifier])
 
