@@ -34,9 +34,9 @@ def classification_output(ticket_type: Column, queue: Column, priority: Column)
     )
 
 
-def build_prompt(instruction: Column, user_input: Column, template: str = "qwen") -> Column:
-    """Chat layout for ``qwen``, the instruction/input/response layout otherwise."""
-    layout = V.CHAT_LAYOUT if template == "qwen" else V.PLAIN_LAYOUT
+def build_prompt(instruction: Column, user_input: Column, template: str = "chat") -> Column:
+    """Chat layout for ``chat``, the instruction/input/response layout otherwise."""
+    layout = V.CHAT_LAYOUT if template == "chat" else V.PLAIN_LAYOUT
     head, rest = layout.split("{instruction}")
     middle, tail = rest.split("{input}")
     return F.concat(F.lit(head), instruction, F.lit(middle), user_input, F.lit(tail))

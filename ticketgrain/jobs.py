@@ -23,7 +23,8 @@ def prepare_splits(
 ) -> DataFrame:
     """Raw parquet tickets -> filtered, assembled, split tickets, a folder per split.
 
-    Without a ``row_id`` column the split order comes from a hash of the row.
+    Without a unique ``row_id`` column the split order comes from a hash of the
+    row; identical rows then fall on the same side.
     """
     tickets = tk.with_text(tk.filter_language(readers.load_dataset(spark, raw), language))
     key = row_id or "_row"
@@ -38,7 +39,10 @@ def prepare_instructions(
     spark: SparkSession, splits: str, out: str, task: str = "multi_task", max_samples: int | None = None,
     row_id: str | None = None,
 ) -> DataFrame:
-    """Instruction samples of every split and the manifest that lists them."""
+    """Instruction samples of every split and the manifest that lists them.
+
+    ``max_samples`` takes the first tickets by ``row_id`` (by text without one).
+    """
     for split in V.MANIFEST_SPLITS:
         tickets = readers.load_split(spark, splits, split)
         if max_samples is not None:

@@ -14,7 +14,7 @@ from ticketgrain.functions import prompts
 from ticketgrain.operators.profiling import class_weights
 from ticketgrain.operators.scaling import lookup_join, stage
 
-FIT_ROWS_PER_TASK = 20_000
+FIT_ROWS_PER_TASK = 5_000
 
 Predictor = Callable[[pd.Series], pd.Series]
 
@@ -75,7 +75,7 @@ def fit_or_load(spark: SparkSession, path: str, fit: Callable[[], PipelineModel]
 def score_prompts(
     samples: DataFrame,
     make_predictor: Callable[[], Predictor],
-    template: str = "qwen",
+    template: str = "chat",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Generate an output for every sample with a caller-supplied predictor.

@@ -273,20 +273,22 @@ def review_sheet(spark, sf):
 
 @query(
     "manifest_upsert",
-    """SELECT n_name AS name, 'nation-' || n_nationkey AS file_name, 'old' AS formatting FROM nation
-    WHERE n_name NOT IN (SELECT c_mktsegment FROM customer) AND n_nationkey % 5 <> 0
-    UNION ALL SELECT n_name, 'region-' || n_regionkey, 'alpaca' FROM nation WHERE n_nationkey % 5 = 0""",
+    """SELECT c_name AS name, 'customer-' || c_custkey AS file_name, 'old' AS formatting FROM customer
+    WHERE c_custkey % 5 <> 0
+    UNION ALL SELECT c_name, 'segment-' || c_mktsegment, 'alpaca' FROM customer WHERE c_custkey % 5 = 0""",
 )
 def manifest_upsert(spark, sf):
-    nation = table(spark, sf, "nation")
-    old = nation.select(
-        F.col("n_name").alias("name"),
-        F.concat(F.lit("nation-"), F.col("n_nationkey").cast("string")).alias("file_name"),
+    """Entries of a manifest, a fifth of them renewed: new ones win, the others stay."""
+    customer = table(spark, sf, "customer")
+    name = F.col("c_name").alias("name")
+    old = customer.select(
+        name,
+        F.concat(F.lit("customer-"), F.col("c_custkey").cast("string")).alias("file_name"),
         F.lit("old").alias("formatting"),
     )
-    new = nation.filter(F.col("n_nationkey") % 5 == 0).select(
-        F.col("n_name").alias("name"),
-        F.concat(F.lit("region-"), F.col("n_regionkey").cast("string")).alias("file_name"),
+    new = customer.filter(F.col("c_custkey") % 5 == 0).select(
+        name,
+        F.concat(F.lit("segment-"), F.col("c_mktsegment")).alias("file_name"),
         F.lit(V.MANIFEST_FORMAT).alias("formatting"),
     )
     return writers.merge_manifest(old, new)
