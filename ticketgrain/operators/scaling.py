@@ -68,7 +68,9 @@ def salted_join(
     """Shuffle join whose hot keys spread over ``salts`` tasks.
 
     ``unique_side`` holds each key once; it is repeated per salt while the big
-    side gets a random-free salt from a hash of its own row.
+    side gets its salt from a hash of the whole row.  That repeats exactly when a
+    lost task is run again, which a random salt does not; rows of a hot key should
+    differ (carry an id), since identical rows share a salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left")
