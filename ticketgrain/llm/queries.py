@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketgrain.llm import byte_bpe, fingerprints, packing, secret_scan, token_counts
+from ticketgrain.llm import (
+    byte_bpe, fingerprints, license_scan, line_dedup, lm_scoring, packing, quality_rules, secret_scan, simhash, token_counts,
+)
 from ticketgrain.llm.common import documents
 from ticketgrain.session import scratch_path
 
@@ -31,15 +33,39 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), WORD_BPE, scratch_path(spark, "token-cache"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(documents(spark, sf_dir))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), MULTI_RANKS, PATTERN)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(documents(spark, sf_dir))
+
+
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), WORD_BPE)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
-    fn.__name__: fn for fn in (op1_fingerprints, op2_secret_scans, op3_token_counts, op5_byte_bpe, op8_packing)
-}
+    fn.__name__: fn
+    for fn in (
+        op1_fingerprints, op2_secret_scans, op3_token_counts, op4_lm_scores, op5_byte_bpe, op6_quality_rules,
+        op7_license_scans, op8_packing, op9_simhash, op10_line_dedup,
+    )
+}
 ORACLES: dict[str, str] = {}
