@@ -13,6 +13,7 @@ from ticketgrain.llm.line_dedup import (
     MIN_WORDS, content_lines, dedup_lines, delete_lines, drop_repeated_lines, run_ends, run_starts, windows_around, winnow,
 )
 from ticketgrain.llm.simhash import components, keep_one, near_duplicates, simhash
+from tools.check_queries import duck
 
 ASCII = " \t\n\x0b\x0c\r"
 
@@ -189,6 +190,12 @@ def test_lines_whole_table(spark):
     assert odd.bag(queries.op10_line_dedup(spark, SF)) == plain_dedup(odd.sf_texts(spark, SF), MIN_WORDS)
 
 
+def test_lines_sql(spark):
+    found = duck(SF).execute(queries.ORACLES["op10_line_dedup"])
+    columns = [c[0] for c in found.description]
+    assert odd.Counter(found.fetchall()) == odd.bag(queries.op10_line_dedup(spark, SF), *columns)
+
+
 def test_delete_lines():
     text = "one\n\ntwo\nthree\n \nfour"
     assert delete_lines(text, [(1, 2)]) == ("one\n\n \nfour", 6, 2, 2)

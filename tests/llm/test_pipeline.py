@@ -1,0 +1,54 @@
+"""The pipeline against the stages written as plain loops, and stage by stage on odd tables."""
+
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from tests.conftest import SF
+from tests.llm import odd
+from tests.llm.plain_quality import quality as plain_quality
+from tests.llm.test_near_dups import MIN_WORDS, plain_dedup, plain_simhash
+from tests.llm.test_secret_scan import ARGS, base_spans, byte_codec, random_spans, redact_text
+from tests.llm.test_tokens import check_packing
+from ticketgrain.llm import queries
+
+
+def linked(prints):
+    root = {p: p for p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    ordered = sorted(root)
+    for i, a in enumerate(ordered):
+        for b in ordered[:i]:
+            if (a ^ b).bit_count() <= 2:
+                root[find(a)] = find(b)
+    return {p: find(p) for p in prints}
+
+
+def test_whole_table(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    kept = [(i, t) for (i, t, _), q in zip(rows, plain_quality(rows), strict=True) if q[-1]]
+    edited = [(i, text) for i, _, _, _, text in plain_dedup(kept, MIN_WORDS)]
+    groups = linked({plain_simhash(t) for _, t in edited})
+    first = {}
+    for doc_id, text in sorted(edited):
+        first.setdefault(groups[plain_simhash(text)], (doc_id, text))
+    codec = byte_codec(*ARGS)
+    final = [(i, redact_text(t, [*base_spans(t), *random_spans(t, codec, base_spans(t))], "[secret]")) for i, t in first.values()]
+    assert 0 < len(final) < len(kept) < len(rows)
+    check_packing(final, entry.queries()["pipeline"](spark, SF).collect(), Tokenizer.from_file(queries.WORD_BPE))
+
+
+def test_stages(spark):
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_duplicates", "secrets", "packing"]
+    for docs in (odd.table(spark), odd.empty(spark)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SF)
+            assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in docs.schema]
+            assert out.count() <= docs.count()
+    secrets = corpus_pipeline.secrets(spark, odd.table(spark, [(1, "token = abcdefghijkl!"), (2, None)]), SF)
+    assert {(r.doc_id, r.text, r.n_chars) for r in secrets.collect()} == {(1, "[secret]!", 9), (2, None, None)}

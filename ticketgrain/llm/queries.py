@@ -11,6 +11,8 @@ from ticketgrain.llm import (
     byte_bpe, fingerprints, license_scan, line_dedup, lm_scoring, packing, quality_rules, secret_scan, simhash, token_counts,
 )
 from ticketgrain.llm.common import documents
+from ticketgrain.llm.oracles import ORACLES as ORACLES
+from ticketgrain.plans.registry import rounded
 from ticketgrain.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +44,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality(documents(spark, sf_dir))
+    return rounded(quality_rules.quality(documents(spark, sf_dir)))
 
 
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +70,3 @@ QUERIES: dict[str, Query] = {
         op7_license_scans, op8_packing, op9_simhash, op10_line_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
