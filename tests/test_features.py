@@ -55,7 +55,7 @@ def test_tfidf_equals_formula_in_long_and_vector_form(spark, docs, options):
     expected, kept = slow_tfidf(
         DOCS, options["min_token_chars"], options["min_df"], options["max_features"], options.get("stop_words", ())
     )
-    model = features.fit_tfidf(docs, "id", **options)
+    model = features.fit_tfidf(docs, **{"use_stop_words": False} | options)
     assert [r["term"] for r in model.terms.orderBy("feature").collect()] == kept
     long = {(r["id"], r["term"]): r["weight"] for r in model.transform_long(docs, "id").collect()}
     assert long.keys() == expected.keys()
@@ -67,7 +67,7 @@ def test_tfidf_equals_formula_in_long_and_vector_form(spark, docs, options):
 
 
 def test_unseen_terms_are_ignored(spark, docs):
-    model = features.fit_tfidf(docs, "id", min_df=1)
+    model = features.fit_tfidf(docs, min_df=1)
     new = spark.createDataFrame([(9, "printer zzz"), (10, "zzz")], "id long, text string")
     assert {r["term"] for r in model.transform_long(new, "id").collect()} == {"printer"}
 

@@ -45,7 +45,7 @@ def test_fit_or_load_fits_once(spark, tmp_path):
 
     def fit():
         calls.append(1)
-        steps = features.fit_tfidf(docs, "id", min_df=1).to_pipeline()
+        steps = features.fit_tfidf(docs, min_df=1).to_pipeline()
         return PipelineModel([*steps.stages, models.fit_logistic_regression(steps.transform(docs))])
 
     path = str(tmp_path / "model")

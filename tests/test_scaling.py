@@ -1,54 +1,55 @@
-"""Shared building blocks: both sides of every size decision give the same rows."""
+"""Shared building blocks on skewed data."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from ticketgrain import session
 from ticketgrain.operators import scaling
 
 
-def test_global_row_number_paths_agree(spark):
+def test_global_row_number(spark):
     data = spark.range(5000).select((F.col("id") % 7).alias("k"), F.col("id").alias("i"))
-    order = [F.desc("k"), F.asc("i")]
-    small = scaling.global_row_number(data, order, "n")
-    large = scaling.global_row_number(data, order, "n", single_task_rows=10)
-    assert rows(small, "k", "i", "n") == rows(large, "k", "i", "n")
-    first = large.orderBy("n").first()
-    assert (first["k"], first["i"], first["n"]) == (6, 6, 1)
+    numbered = scaling.global_row_number(data, [F.desc("k"), F.asc("i")], "n")
+    wanted = sorted(((i % 7, i) for i in range(5000)), key=lambda r: (-r[0], r[1]))
+    assert rows(numbered, "n", "k", "i") == sorted(((n, *r) for n, r in enumerate(wanted, 1)), key=repr)
 
 
 def test_global_row_number_with_one_hot_value(spark):
     hot = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id"))
     data = spark.range(3000).select(hot.alias("k"), F.col("id").alias("i"))
-    numbered = scaling.global_row_number(data, [F.asc("k"), F.asc("i")], "n", start=0, single_task_rows=1)
+    numbered = scaling.global_row_number(data, [F.asc("k"), F.asc("i")], "n", start=0)
     got = [r["n"] for r in numbered.orderBy("k", "i").collect()]
     assert got == list(range(3000))
+    assert scaling.global_row_number(data.limit(0), [F.asc("i")], "n").count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 5, 17, 400, 5000])
+def test_top_by_count(spark, size):
+    data = spark.range(1000).select((F.col("id") % 40 + 1).alias("c"), F.col("id").alias("i"))
+    top = scaling.top_by_count(data, "c", size, [F.desc("c"), F.asc("i")], "n", start=2)
+    wanted = sorted(((i % 40 + 1, i) for i in range(1000)), key=lambda r: (-r[0], r[1]))[:size]
+    assert rows(top, "n", "c", "i") == sorted(((n, *r) for n, r in enumerate(wanted, 2)), key=repr)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_join_paths_agree(spark, how):
+def test_joins_agree(spark, how):
     # one key holds a third of the rows
     key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 100)
     big = spark.range(6000).select(key.alias("k"), F.col("id").alias("i"))
     small = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    broadcast = scaling.lookup_join(big, small, ["k"], how)
-    shuffled = scaling.lookup_join(big, small, ["k"], how, max_rows=5)
-    assert rows(broadcast, "k", "i", "v") == rows(shuffled, "k", "i", "v")
-    plan = shuffled._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
-
-
-def test_fits_in_memory_counts_rows_and_bytes(spark):
-    data = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
-    assert scaling.fits_in_memory(data)
-    assert not scaling.fits_in_memory(data, max_rows=99)
-    assert not scaling.fits_in_memory(data, max_bytes=50_000)
-
-
-def test_spread_leaves_wide_tables_alone(spark):
-    wide, narrow = spark.range(0, 100, 1, 16), spark.range(0, 100, 1, 1)
-    assert scaling.spread(wide, "id") is wide
-    assert scaling.spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    plain = scaling.lookup_join(big, small, ["k"], how)
+    salted = scaling.salted_join(big, small, ["k"], how)
+    assert rows(plain, "k", "i", "v") == rows(salted, "k", "i", "v")
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scratch_is_removed(spark):
+    staged = scaling.stage(spark.range(3))
+    (path,) = {f.rsplit("/", 1)[0] for f in staged.inputFiles()}
+    session.remove_scratch(spark)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def test_require_columns(spark):

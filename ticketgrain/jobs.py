@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from ticketgrain import schemas
 from ticketgrain.functions import extraction
 from ticketgrain.functions import fixed_values as V
+from ticketgrain.functions import naming
 from ticketgrain.operators import comparison, profiling, sampling
 from ticketgrain.operators import generation as gen
 from ticketgrain.operators import tickets as tk
+from ticketgrain.operators.scaling import global_row_number, stage
 from ticketgrain.sources import readers, writers
 
 
@@ -23,14 +25,15 @@ def prepare_splits(
 ) -> DataFrame:
     """Raw parquet tickets -> filtered, assembled, split tickets, a folder per split.
 
-    Without a unique ``row_id`` column the split order comes from a hash of the
-    row; identical rows then fall on the same side.
+    Without a unique ``row_id`` column the split order comes from a hash of the raw
+    row; identical rows then fall on the same side.  Texts are assembled and cleaned
+    after the split, once.
     """
-    tickets = tk.with_text(tk.filter_language(readers.load_dataset(spark, raw), language))
+    tickets = tk.filter_language(readers.load_dataset(spark, raw), language)
     key = row_id or "_row"
     if row_id is None:
         tickets = tickets.withColumn(key, F.sha2(F.to_json(F.struct(*tickets.columns)), 256))
-    split = sampling.stratified_split(tickets, key, stratify_by)
+    split = tk.with_text(sampling.stratified_split(tickets, key, stratify_by))
     writers.write_splits(split if row_id else split.drop(key), out, "overwrite")
     return spark.read.parquet(out)
 
@@ -53,8 +56,8 @@ def prepare_instructions(
     old = None
     if readers.path_exists(spark, path):
         old = readers.read_json_records(spark, path, schemas.MANIFEST)
-    # the manifest is a handful of rows: fix it before its folder is replaced
-    merged = spark.createDataFrame(writers.merge_manifest(old, writers.manifest_entries(spark, task)).collect(), schemas.MANIFEST)
+    # written elsewhere before its folder is replaced
+    merged = stage(writers.merge_manifest(old, writers.manifest_entries(spark, task)))
     merged.write.mode("overwrite").json(path)
     return merged
 
@@ -85,10 +88,10 @@ def evaluate(
 
 def compare(spark: SparkSession, eval_dir: str, out: str) -> DataFrame:
     """Comparison table, scores and targets of all evaluated models below a folder."""
-    found = readers.load_evaluations(spark, eval_dir).withColumns(
-        # one family, in order of kind and name
-        {"family": F.lit("all"), "position": F.lit(0).cast("long")}
-    )
+    found = readers.load_evaluations(spark, eval_dir).withColumn("family", F.lit("all"))
+    # one family, in order of kind and name; the result files are read once
+    by_kind = [naming.kind_of(F.col("model")), F.col("model")]
+    found = stage(global_row_number(found, by_kind, "position"))
     table = comparison.comparison_table(found)
     table.write.mode("overwrite").json(f"{out}/models")
     comparison.weighted_score(found).write.mode("overwrite").json(f"{out}/scores")

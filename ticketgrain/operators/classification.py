@@ -100,9 +100,8 @@ def class_report(cells: DataFrame) -> DataFrame:
 def dense_confusion(cells: DataFrame, labels: list[str]) -> DataFrame:
     """Every cell of the matrix over the given labels, zeros included.
 
-    The matrix is label count squared by definition, so the labels are given by
-    the caller (``label_values`` reads them); ``confusion_counts`` is the form
-    for any number of labels.
+    The matrix is label count squared by definition, so the caller states the
+    label domain; ``confusion_counts`` is the form for any number of labels.
     """
     pairs = F.array(*[F.struct(F.lit(a).alias("truth"), F.lit(b).alias("prediction")) for a in labels for b in labels])
     grid = cells.sparkSession.range(1).select(F.inline(pairs))
@@ -111,21 +110,6 @@ def dense_confusion(cells: DataFrame, labels: list[str]) -> DataFrame:
     )
 
 
-def label_values(cells: DataFrame, max_labels: int = 64) -> list[str]:
-    """Sorted labels for a dense matrix; refuses more than a matrix can show."""
-    labels = (
-        cells.select(F.explode(F.array("truth", "prediction")).alias("label"))
-        .distinct()
-        .orderBy("label")
-        .limit(max_labels + 1)
-        .toLocalIterator()
-    )
-    values = [row["label"] for row in labels]
-    if len(values) > max_labels:
-        raise ValueError(f"more than {max_labels} labels: use the sparse confusion_counts table")
-    return values
-
-
 def confusion_matrix(cells: DataFrame, labels: list[str]) -> DataFrame:
     """Pivoted view: a row per true label, a column per predicted label."""
     return (

@@ -62,11 +62,12 @@ def mean_accuracy(models: DataFrame) -> DataFrame:
 
 
 def rank_gain(models: DataFrame, metric: str = "avg_rougeL_f") -> DataFrame:
-    """Change against the next smaller rank of the family, in percent and in points.
+    """Change of the rank variants against the next smaller rank of the family, in percent and in points.
 
-    Windows run inside a family, whose rows are its few compared ranks.
+    Other kinds of runs are left out.  Windows run inside a family, whose rows are its few compared ranks.
     """
-    ranked = models.withColumn("rank", naming.rank_of(F.col("model")))
+    variants = models.filter(naming.kind_of(F.col("model")) == "lora_rank")
+    ranked = variants.withColumn("rank", naming.rank_of(F.col("model")))
     before = F.lag(metric).over(Window.partitionBy("family").orderBy("rank", "position"))
     return ranked.select(
         "family",

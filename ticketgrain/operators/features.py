@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel,
@@ -15,12 +18,12 @@ from pyspark.ml.feature import (
     StopWordsRemover,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions import text as tx
-from ticketgrain.operators.scaling import global_row_number, lookup_join, stage
+from ticketgrain.operators.scaling import global_row_number, lookup_join, stage, top_by_count
 
 
 # --- labels -------------------------------------------------------------------
@@ -55,14 +58,10 @@ def _token_counts(df: DataFrame, row_id: str, tokens: Column) -> DataFrame:
 def vocabulary_top(
     df: DataFrame, row_id: str, text: str = "text", size: int = V.VOCABULARY_SIZE
 ) -> DataFrame:
-    """The ``size`` most common tokens, ids from 2 by count; ties by first occurrence.
-
-    The cut runs as a distributed top-k; only its ``size`` rows are numbered.
-    """
-    order = [F.desc("n"), F.asc("first")]
-    top = _token_counts(df, row_id, tx.words(F.col(text))).orderBy(*order).limit(size)
-    place = F.row_number().over(Window.orderBy(*order)).cast("long")
-    return top.select("token", "n", (place + F.lit(V.FIRST_TOKEN_ID - 1)).alias("id"))
+    """The ``size`` most common tokens, ids from 2 by count; ties by first occurrence."""
+    counts = _token_counts(df, row_id, tx.words(F.col(text)))
+    top = top_by_count(counts, "n", size, [F.desc("n"), F.asc("first")], "id", start=V.FIRST_TOKEN_ID)
+    return top.select("token", "n", "id")
 
 
 def vocabulary_all(df: DataFrame, row_id: str, text: str = "text", min_freq: int = 1) -> DataFrame:
@@ -81,22 +80,24 @@ def encode_padded(
 ) -> DataFrame:
     """First ``max_len`` tokens as ids, unknown tokens 1, padded with 0 on the right.
 
-    ``row_id`` is unique.  Only the tokens that are kept are exploded; they are
-    regrouped per row, which holds at most ``max_len`` of them.
+    The vocabulary (``V.VOCABULARY_SIZE`` rows at most) is sent to the tasks, which look the
+    words up inside the row: nothing is shuffled.
     """
-    kept = F.slice(tx.words(F.col(text)), 1, max_len)
-    tokens = df.select(row_id, F.posexplode_outer(kept).alias("_pos", "_token"))
-    lookup = vocabulary.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
-    ids = lookup_join(tokens, lookup, ["_token"], "left")
-    entry = F.when(
-        F.col("_token").isNotNull(),
-        F.struct("_pos", F.coalesce("_id", F.lit(V.UNKNOWN_ID)).cast("int").alias("_id")),
-    )
-    ordered = F.transform(F.array_sort("_entries"), lambda e: e["_id"])
-    padded = F.concat(ordered, F.array_repeat(F.lit(V.PAD_ID), F.lit(max_len) - F.size("_entries")))
-    return (
-        ids.groupBy(row_id).agg(F.collect_list(entry).alias("_entries")).select(row_id, padded.alias("ids"))
-    )
+    rows = vocabulary.select("token", "id").limit(V.VOCABULARY_SIZE + 1).toArrow()
+    if rows.num_rows > V.VOCABULARY_SIZE:
+        raise ValueError(f"an encoding vocabulary has at most {V.VOCABULARY_SIZE} tokens")
+    ids = dict(zip(rows.column("token").to_pylist(), rows.column("id").to_pylist(), strict=True))
+    kept = df.select(row_id, F.slice(tx.words(F.col(text)), 1, max_len).alias("_tokens"))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for tokens in batch.column("_tokens").to_pylist():
+                found = [ids.get(t, V.UNKNOWN_ID) for t in tokens or ()]
+                out.append(found + [V.PAD_ID] * (max_len - len(found)))
+            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32()))], [row_id, "ids"])
+
+    return kept.mapInArrow(encode, f"`{row_id}` {df.schema[row_id].dataType.simpleString()}, ids array<int>")
 
 
 def attention_mask(ids: Column) -> Column:
@@ -118,24 +119,11 @@ def _without(tokens: Column, stop_words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(list(stop_words)))
 
 
-def term_counts(
-    df: DataFrame, row_id: str, text: str = "text", min_token_chars: int = 1, stop_words: Sequence[str] = ()
-) -> DataFrame:
-    """row_id, term, tf.
-
-    Texts are spread by row id once; every later step per row (counting, norms)
-    finds its rows together and needs no further shuffle.
-    """
-    spread = df.select(row_id, text).repartition(F.col(row_id))
-    # Stop words go before bigrams are built.  The tokens are a column of their
-    # own, so they are cut out of the text once.
-    tokens = spread.select(row_id, _without(_tokens(F.col(text), min_token_chars), stop_words).alias("_t"))
-    terms = F.concat("_t", tx.ngrams(F.col("_t"), 2))
-    return (
-        tokens.select(row_id, F.explode(terms).alias("term"))
-        .groupBy(row_id, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+def _terms(df: DataFrame, text: str, min_token_chars: int, stop_words: Sequence[str], *keep: str) -> DataFrame:
+    """Columns ``keep`` and _terms: words and word pairs in order; stop words go before pairs are built."""
+    # the tokens are a column of their own, so they are cut out of the text once
+    tokens = df.select(*keep, _without(_tokens(F.col(text), min_token_chars), stop_words).alias("_t"))
+    return tokens.select(*keep, F.concat("_t", tx.ngrams(F.col("_t"), 2)).alias("_terms"))
 
 
 @dataclass(frozen=True)
@@ -147,13 +135,32 @@ class TfidfModel:
     stop_words: tuple[str, ...]
 
     def transform_long(self, df: DataFrame, row_id: str, text: str = "text") -> DataFrame:
-        """row_id, term, feature, weight of the non-zero entries, rows L2-normalised."""
-        counts = term_counts(df, row_id, text, self.min_token_chars, self.stop_words)
-        weighted = lookup_join(counts, self.terms, ["term"], "inner").withColumn(
-            "_raw", F.col("tf") * F.col("idf")
-        )
-        norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(row_id)))
-        return weighted.select(row_id, "term", "feature", (F.col("_raw") / norm).alias("weight"))
+        """row_id, term, feature, weight of the non-zero entries, rows L2-normalised.
+
+        The vocabulary (``max_features`` rows at most) is sent to the tasks and looked up inside
+        the row; terms outside it are left out.  Nothing is shuffled.
+        """
+        rows = self.terms.select("term", "feature", "idf").toArrow().to_pylist()
+        known = {r["term"]: (r["feature"], r["idf"]) for r in rows}
+        terms = _terms(df, text, self.min_token_chars, self.stop_words, row_id)
+
+        def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at, found, features, weights = [], [], [], []
+                for i, listed in enumerate(batch.column("_terms").to_pylist()):
+                    counts = Counter(t for t in listed or () if t in known)
+                    raw = [n * known[t][1] for t, n in counts.items()]
+                    norm = math.sqrt(sum(w * w for w in raw))
+                    at += [i] * len(raw)
+                    found += counts
+                    features += [known[t][0] for t in counts]
+                    weights += [w / norm for w in raw]
+                columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.string())]
+                columns += [pa.array(features, pa.int64()), pa.array(weights, pa.float64())]
+                yield pa.record_batch(columns, [row_id, "term", "feature", "weight"])
+
+        key = f"`{row_id}` {df.schema[row_id].dataType.simpleString()}"
+        return terms.mapInArrow(weigh, f"{key}, term string, feature long, weight double")
 
     def to_pipeline(self, text: str = "text", output: str = "features") -> PipelineModel:
         """The same weights as sparse ML vectors, without any shuffle.
@@ -183,25 +190,39 @@ class TfidfModel:
         return PipelineModel([tokens, stop, pairs, both, counts, scale, unit, tidy])
 
 
+def english_stop_words() -> tuple[str, ...]:
+    """Spark's English list."""
+    return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+
+
 def fit_tfidf(
     df: DataFrame,
-    row_id: str,
     text: str = "text",
     max_features: int = V.TFIDF_FULL["max_features"],
     min_df: int = V.TFIDF_FULL["min_df"],
     min_token_chars: int = V.TFIDF_FULL["min_token_chars"],
-    stop_words: Sequence[str] = (),
+    use_stop_words: bool = V.TFIDF_FULL["use_stop_words"],
+    stop_words: Sequence[str] | None = None,
 ) -> TfidfModel:
     """Choose the top terms by total count and their smoothed idf.
 
-    ``idf = ln((1 + rows) / (1 + df)) + 1``; equal counts at the cut are taken in
-    term order.  The result has at most ``max_features`` rows.
+    ``idf = ln((1 + rows) / (1 + df)) + 1``; equal counts at the cut are taken in term order.
+    The result has at most ``max_features`` rows.  ``stop_words`` replaces Spark's English list.
+    Only terms with their partial counts are shuffled.
     """
-    counts = term_counts(df, row_id, text, min_token_chars, stop_words)
+    if stop_words is None:
+        stop_words = english_stop_words() if use_stop_words else ()
+    terms = _terms(df, text, min_token_chars, stop_words)
+    once = F.transform(F.array_distinct("_terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("tf")))
+    each = F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("tf")))
     n_rows = df.select(F.count(F.lit(1))).scalar()
-    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
-    top = stats.filter(F.col("df") >= min_df).orderBy(F.desc("total"), "term").limit(max_features)
+    stats = (
+        terms.select(F.inline(F.concat(each, once)))
+        .groupBy("term")
+        .agg(F.sum("df").alias("df"), F.sum("tf").alias("total"))
+        .filter(F.col("df") >= min_df)
+    )
+    top = top_by_count(stats, "total", max_features, [F.desc("total"), F.asc("term")], "_place")
     idf = F.log((n_rows + 1.0) / (F.col("df") + 1.0)) + 1.0
-    feature = F.row_number().over(Window.orderBy("term")).cast("long") - 1
-    terms = stage(top.select("term", feature.alias("feature"), idf.alias("idf")))
-    return TfidfModel(terms, min_token_chars, tuple(stop_words))
+    chosen = global_row_number(top.select("term", idf.alias("idf")), [F.asc("term")], "feature", start=0)
+    return TfidfModel(stage(chosen.select("term", "feature", "idf")), min_token_chars, tuple(stop_words))

@@ -1,8 +1,7 @@
 """Measures of generated replies against references.
 
-N-gram overlaps are counted as rows, not by Python scorers: the pair's texts are
-spread by key once, exploded into n-grams in place, and both aggregations reuse
-that partitioning, so the (much larger) n-gram rows are never shuffled.
+Everything is computed inside the pair's row: after the pair join nothing is shuffled.
+Stemming, clipped n-gram overlaps and subsequences are small Python helpers over Arrow batches.
 """
 
 from __future__ import annotations
@@ -16,11 +15,9 @@ from ticketgrain.functions import extraction
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions import text as tx
 from ticketgrain.functions.lcs import lcs_tokens
+from ticketgrain.functions.overlaps import overlaps
 from ticketgrain.functions.porter import stem_words
 
-# n-gram families, in the order they are exploded
-_FAMILIES = ("rouge1", "rouge2", "bleu1", "bleu2", "bleu3", "bleu4")
-
 
 def pair_by_key(predictions: DataFrame, references: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Predictions and references that share a sample key (the shorter side decides)."""
@@ -40,42 +37,25 @@ def with_responses(pairs: DataFrame, task: str = "multi_task") -> DataFrame:
     )
 
 
-def ngram_overlaps(pairs: DataFrame, keys: Sequence[str], use_stemmer: bool = True) -> DataFrame:
-    """keys, family, overlap, n_pred, n_ref; a row per pair and family, empty texts included.
+def _with_tokens(pairs: DataFrame, keep: Sequence[str], use_stemmer: bool) -> DataFrame:
+    """Columns ``keep``, ROUGE tokens (_rp, _rq) and BLEU tokens (_bp, _bq) of both texts."""
 
-    ``keys`` identify a pair, so a group is the n-grams of two texts.
-    """
-    keys = list(keys)
-
-    def side(number: int, name: str) -> Column:
-        rouge = tx.rouge_words(F.col(name))
-        return F.struct(
-            F.lit(number).alias("_side"),
-            (stem_words(rouge) if use_stemmer else rouge).alias("r1"),
-            tx.bleu_words(F.col(name)).alias("b1"),
-        ).alias(name)
-
-    # Python stemming comes before the shuffle: it would hide the partitioning.
-    tokens = pairs.select(*keys, side(0, "prediction"), side(1, "reference"))
-    spread = tokens.repartition(*[F.col(k) for k in keys])
-    sides = spread.select(*keys, F.inline(F.array("prediction", "reference")))
-    # longer n-grams grow from the shorter ones
-    for name, shorter, words in (("r2", "r1", "r1"), ("b2", "b1", "b1"), ("b3", "b2", "b1"), ("b4", "b3", "b1")):
-        sides = sides.withColumn(name, tx.extend_ngrams(F.col(shorter), F.col(words), int(name[1])))
-    families = F.array("r1", "r2", "b1", "b2", "b3", "b4")
-    grams = sides.select(*keys, "_side", F.posexplode(families).alias("_family", "_grams")).select(
-        *keys, "_side", "_family", F.explode_outer("_grams").alias("_gram")
-    )
-    in_pred = F.count_if((F.col("_side") == 0) & F.col("_gram").isNotNull())
-    in_ref = F.count_if((F.col("_side") == 1) & F.col("_gram").isNotNull())
-    counts = grams.groupBy(*keys, "_family", "_gram").agg(in_pred.alias("_p"), in_ref.alias("_q"))
-    return counts.groupBy(*keys, "_family").agg(
-        F.sum(F.least("_p", "_q")).alias("overlap"), F.sum("_p").alias("n_pred"), F.sum("_q").alias("n_ref")
+    def rouge(name: str) -> Column:
+        plain = tx.rouge_words(F.col(name))
+        return stem_words(plain) if use_stemmer else plain
+
+    return pairs.select(
+        *keep,
+        rouge("prediction").alias("_rp"),
+        rouge("reference").alias("_rq"),
+        tx.bleu_words(F.col("prediction")).alias("_bp"),
+        tx.bleu_words(F.col("reference")).alias("_bq"),
     )
 
 
-def _of(column: str, family: str) -> Column:
-    return F.max(F.when(F.col("_family") == _FAMILIES.index(family), F.col(column)))
+def _grams(tokens: str, n: int) -> Column:
+    """How many n-grams a token column has."""
+    return F.greatest(F.size(tokens) - (n - 1), F.lit(0)).cast("long")
 
 
 def _prf(overlap: Column, n_pred: Column, n_ref: Column, prefix: str) -> list[Column]:
@@ -90,50 +70,45 @@ def _bleu() -> Column:
     """Sentence BLEU-4 with zero counts smoothed to 0.1 / length; 0 without a common word."""
     total = F.lit(0.0)
     for n in (1, 2, 3, 4):
-        hits = F.col(f"_bleu{n}_overlap")
-        size = F.greatest(F.col(f"_bleu{n}_n_pred"), F.lit(1))
+        hits = F.col(f"_b.n{n}")
         smoothed = F.when(hits == 0, F.lit(V.BLEU_EPSILON)).otherwise(hits)
-        total = total + F.log(smoothed / size) * 0.25
-    length, wanted = F.col("_bleu1_n_pred"), F.col("_bleu1_n_ref")
+        total = total + F.log(smoothed / F.greatest(_grams("_bp", n), F.lit(1))) * 0.25
+    length, wanted = F.size("_bp"), F.size("_bq")
     # the guard keeps the quotient defined; an empty prediction scores 0 anyway
     brevity = F.when(length > wanted, F.lit(1.0)).otherwise(
         F.exp(1.0 - wanted / F.greatest(length, F.lit(1)))
     )
-    return F.when(F.col("_bleu1_overlap") == 0, F.lit(0.0)).otherwise(brevity * F.exp(total))
+    return F.when(F.col("_b.n1") == 0, F.lit(0.0)).otherwise(brevity * F.exp(total))
+
+
+def _overlap_figures() -> list[Column]:
+    rouge = [c for n in (1, 2) for c in _prf(F.col(f"_r.n{n}"), _grams("_rp", n), _grams("_rq", n), f"rouge{n}")]
+    return [*rouge, _bleu().alias("bleu"), _grams("_bp", 1).alias("pred_length"), _grams("_bq", 1).alias("ref_length")]
+
+
+def _counted(tokens: DataFrame) -> DataFrame:
+    return tokens.withColumns(
+        {"_r": overlaps(F.col("_rp"), F.col("_rq"), 2), "_b": overlaps(F.col("_bp"), F.col("_bq"), 4)}
+    )
 
 
 def overlap_scores(pairs: DataFrame, keys: Sequence[str], use_stemmer: bool = True) -> DataFrame:
     """ROUGE-1/2 precision, recall, F, sentence BLEU and word counts of every pair."""
-    wide = ngram_overlaps(pairs, keys, use_stemmer).groupBy(*keys).agg(
-        *[
-            _of(column, family).alias(f"_{family}_{column}")
-            for family in _FAMILIES
-            for column in ("overlap", "n_pred", "n_ref")
-        ]
-    )
-    rouge = [
-        c
-        for family in ("rouge1", "rouge2")
-        for c in _prf(*[F.col(f"_{family}_{x}") for x in ("overlap", "n_pred", "n_ref")], family)
-    ]
-    return wide.select(
-        *keys,
-        *rouge,
-        _bleu().alias("bleu"),
-        F.col("_bleu1_n_pred").alias("pred_length"),
-        F.col("_bleu1_n_ref").alias("ref_length"),
+    return _counted(_with_tokens(pairs, list(keys), use_stemmer)).select(*keys, *_overlap_figures())
+
+
+def pair_lengths(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Word counts of both texts."""
+    lengths = {"pred_length": "prediction", "ref_length": "reference"}
+    return pairs.select(
+        *keys, *[F.size(tx.bleu_words(F.col(text))).cast("long").alias(name) for name, text in lengths.items()]
     )
 
 
 def rouge_l(pairs: DataFrame, use_stemmer: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """ROUGE-L precision, recall and F of every pair, whole texts, row by row."""
-    def tokens(name: str) -> Column:
-        plain = tx.rouge_words(F.col(name))
-        return stem_words(plain) if use_stemmer else plain
-
-    lists = pairs.select(*keep, tokens("prediction").alias("_p"), tokens("reference").alias("_q"))
-    common = lists.withColumn("_lcs", lcs_tokens("_p", "_q"))
-    return common.select(*keep, *_prf(F.col("_lcs"), F.size("_p"), F.size("_q"), "rougeL"))
+    common = _with_tokens(pairs, list(keep), use_stemmer).withColumn("_lcs", lcs_tokens("_rp", "_rq"))
+    return common.select(*keep, *_prf(F.col("_lcs"), F.size("_rp"), F.size("_rq"), "rougeL"))
 
 
 def evaluate_samples(
@@ -144,21 +119,20 @@ def evaluate_samples(
     ``pairs`` has the keys, prediction, reference and, optionally for multi-task
     output, ``expected`` (struct of type, queue, priority).
     """
-    keys = list(keys)
     ready = with_responses(pairs, task)
-    scores = overlap_scores(ready, keys, use_stemmer)
-    lcs = rouge_l(ready, use_stemmer, keep=keys)
-    out = scores.join(lcs, keys)
-    if task == "multi_task" and "expected" in pairs.columns:
+    fields = ["predicted_fields", "expected"] if task == "multi_task" and "expected" in pairs.columns else []
+    tokens = _with_tokens(ready, [*keys, *fields], use_stemmer)
+    measured = _counted(tokens).withColumn("_lcs", lcs_tokens("_rp", "_rq"))
+    figures = [*_overlap_figures(), *_prf(F.col("_lcs"), F.size("_rp"), F.size("_rq"), "rougeL")]
+    if fields:
         correct = F.struct(
             *[
                 F.col(f"predicted_fields.{f}").eqNullSafe(F.col(f"expected.{f}")).alias(f)
                 for f in ("type", "queue", "priority")
             ]
         )
-        fields = ready.select(*keys, "predicted_fields", correct.alias("classification_correct"))
-        out = out.join(fields, keys)
-    return out
+        figures += [F.col("predicted_fields"), correct.alias("classification_correct")]
+    return measured.select(*keys, *figures)
 
 
 def aggregate_samples(samples: DataFrame) -> DataFrame:

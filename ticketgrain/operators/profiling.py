@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketgrain.functions import text as tx
-from ticketgrain.operators.scaling import fits_in_memory, lookup_join, stage
+from ticketgrain.operators.scaling import lookup_join, stage
 
 
 def split_sizes(df: DataFrame, split: str = "split") -> DataFrame:
@@ -62,16 +62,9 @@ def labelled_lengths(
 ) -> DataFrame:
     """(label, n_chars, n_words) of the cleaned text of every labelled row.
 
-    Few labels are broadcast, so only labelled texts are cleaned and none moves.
-    Otherwise texts are reduced to two numbers before the shuffle join: the text
-    itself is never shuffled.
+    Texts are reduced to two numbers before the join: no text is shuffled.
     """
-    pairs = labels.select(row_id, label)
-    texts = docs.select(row_id, text)
-    if fits_in_memory(pairs):
-        joined = texts.join(F.broadcast(pairs), row_id).select(label, text)
-        return _cleaned_lengths(joined, [label], text)
-    return _cleaned_lengths(texts, [row_id], text).join(pairs, row_id).drop(row_id)
+    return _cleaned_lengths(docs.select(row_id, text), [row_id], text).join(labels.select(row_id, label), row_id).drop(row_id)
 
 
 def _cleaned_lengths(df: DataFrame, keep: Sequence[str], text: str) -> DataFrame:
@@ -143,12 +136,12 @@ def describe(df: DataFrame, columns: Sequence[str] = ("n_chars", "n_words")) ->
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins included."""
-    freq = value_frequencies(df, [column])
-    lo = freq.select(F.min("value").cast("double")).scalar()
-    hi = freq.select(F.max("value").cast("double")).scalar()
+    freq = stage(value_frequencies(df, [column]))
+    ends = freq.select(F.min("value").cast("double").alias("lo"), F.max("value").cast("double").alias("hi")).first()
+    lo, hi = ends if ends.lo is not None else (0.0, 0.0)
     # a single value gets a unit-wide range around it
-    start = F.when(lo == hi, lo - 0.5).otherwise(lo)
-    width = F.when(lo == hi, F.lit(1.0)).otherwise(hi - lo)
+    first, span = (lo - 0.5, 1.0) if lo == hi else (lo, hi - lo)
+    start, width = F.lit(first), F.lit(span)
     slot = F.floor((F.col("value") - start) / width * bins)
     counts = freq.groupBy(F.least(slot, F.lit(bins - 1)).alias("bin")).agg(F.sum("n").alias("n"))
     edges = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
@@ -189,18 +182,13 @@ def label_distribution(df: DataFrame, label: str) -> DataFrame:
 
 def class_profile(df: DataFrame, label: str, chars: str = "n_chars", words: str = "n_words") -> DataFrame:
     """Count, percentage and mean lengths per class."""
-    per_class = stage(
-        df.groupBy(label).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(chars).alias("mean_chars"),
-            F.avg(words).alias("mean_words"),
-        )
-    )
-    # The class table is written once, so the total costs no second pass over the rows.
-    total = per_class.select(F.sum("n")).scalar()
-    return per_class.select(
-        label, "n", (F.col("n") * 100.0 / total).alias("pct"), "mean_chars", "mean_words"
+    per_class = df.groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(chars).alias("mean_chars"),
+        F.avg(words).alias("mean_words"),
     )
+    total = F.sum("n").over(Window.partitionBy())  # a row for each class
+    return per_class.select(label, "n", (F.col("n") * 100.0 / total).alias("pct"), "mean_chars", "mean_words")
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:

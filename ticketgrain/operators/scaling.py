@@ -1,10 +1,10 @@
 """Shared building blocks that keep the operators safe on large, skewed data.
 
 * ``stage``             cut lineage once, reliably, so a derived table is computed once
-* ``fits_in_memory``    measure a table before it may be broadcast
-* ``lookup_join``       broadcast behind that measurement, salted shuffle join beyond it
+* ``lookup_join``       join a table with unique keys; the planner picks the join
 * ``salted_join``       join against a unique-keyed side when the other side has hot keys
 * ``global_row_number`` dense 1..n numbering without a single-task sort of big data
+* ``top_by_count``      the most frequent rows, numbered, without a single-task sort
 """
 
 from __future__ import annotations
@@ -13,53 +13,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ticketgrain.session import shared_folder
+from ticketgrain.session import scratch_path
 
-# A side may be broadcast only while it is under both bounds.
-LOOKUP_MAX_ROWS = 1_000_000
-LOOKUP_MAX_BYTES = 64 * 1024 * 1024
-# Up to this many rows one task may sort a derived table.
-SINGLE_TASK_ROWS = 100_000
 SALTS = 32
+# Counts are put into so many buckets for each doubling when a top is cut.
+BUCKETS_PER_DOUBLING = 16
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and continue from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of one row: real width for text, 16 bytes for fixed-width columns."""
-    parts = []
-    for field in df.schema.fields:
-        col = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(col), F.lit(0)) + 16)
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0)) + 16)
-        else:
-            parts.append(F.lit(16))
-    total = F.lit(0)
-    for part in parts:
-        total = total + part
-    return total.cast("long")
-
-
-def fits_in_memory(
-    small: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
-) -> bool:
-    """Measure a staged or source table; never reads more than the row bound plus one."""
-    max_rows = LOOKUP_MAX_ROWS if max_rows is None else max_rows
-    max_bytes = LOOKUP_MAX_BYTES if max_bytes is None else max_bytes
-    rows, size = (
-        small.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(small)), F.lit(0)))
-        .first()
-    )
-    return rows <= max_rows and size <= max_bytes
+    """Write ``df`` once as a table below the shared folder and continue from there.
+
+    ``session.remove_scratch`` deletes such tables when the work is done.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def salted_join(
@@ -81,72 +50,53 @@ def salted_join(
     return left.join(right, keys + ["_salt"], how).drop("_salt")
 
 
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    max_rows: int | None = None,
-    max_bytes: int | None = None,
-) -> DataFrame:
+def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join a lookup table with unique keys onto ``big``.
 
-    Broadcast while the measured lookup is small, otherwise a salted shuffle join,
-    which gives the same rows.
+    No hint: the planner broadcasts by size, and splits hot keys at run time otherwise.
     """
-    keys = list(on)
-    if fits_in_memory(small, max_rows, max_bytes):
-        return big.join(F.broadcast(small), keys, how)
-    return salted_join(big, small, keys, how)
+    return big.join(small, list(on), how)
 
 
-def global_row_number(
-    df: DataFrame,
-    order_by: Sequence[Column],
-    name: str,
-    start: int = 1,
-    single_task_rows: int | None = None,
-) -> DataFrame:
+def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str, start: int = 1) -> DataFrame:
     """Number all rows ``start, start+1, ...`` in the given total order.
 
-    ``order_by`` must be unique (end it with a key).  Small derived tables are
-    numbered by one window; larger ones are range-partitioned and sorted by all
-    tasks, and each partition adds the row count of the partitions before it.
-    The sorted table is checkpointed so the positions stay fixed.
+    ``order_by`` must be unique (end it with a key).  All tasks range-partition and sort the
+    rows, which are written once with their place; each partition then adds the row count of
+    the partitions before it.
     """
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    staged = stage(df)
-    if staged.limit(limit + 1).count() <= limit:
-        position = F.row_number().over(Window.orderBy(*order_by)).cast("long")
-        return staged.withColumn(name, position + F.lit(start - 1))
-
-    slot = F.monotonically_increasing_id()
-    ordered = stage(staged.orderBy(*order_by).withColumn("_slot", slot))
+    ordered = stage(df.orderBy(*order_by).withColumn("_slot", F.monotonically_increasing_id()))
     ordered = ordered.withColumn("_part", F.shiftright("_slot", 33)).withColumn(
         "_pos", F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
     )
     # One row per partition: its size is the partition count, not the data.
     sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     numbered = ordered.join(F.broadcast(offsets), "_part").withColumn(
         name, F.col("_offset") + F.col("_pos") + F.lit(start)
     )
     return numbered.drop("_slot", "_part", "_pos", "_offset")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a table with fewer scan tasks than cores one partition per core.
+def top_by_count(
+    df: DataFrame, count: str, size: int, order_by: Sequence[Column], name: str, start: int = 1
+) -> DataFrame:
+    """The first ``size`` rows in an order that begins with descending ``count``, numbered.
 
-    A cluster-sized table has more scan tasks than cores and passes unchanged;
-    this only concerns a few small files with costly work per row.
+    A histogram of the counts (a bounded number of buckets) tells which rows can be among
+    them; only these are sorted, by all tasks.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *[F.col(k) for k in keys])
+    counted = stage(df)
+    bucket = F.floor(F.log2(count) * BUCKETS_PER_DOUBLING).cast("int")
+    sizes = counted.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+    held, lowest = 0, 0
+    for row in sorted(sizes, reverse=True):
+        held, lowest = held + row["n"], row["b"]
+        if held >= size:
+            break
+    numbered = global_row_number(counted.filter(bucket >= lowest), order_by, name, start)
+    return numbered.filter(F.col(name) < start + size)
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

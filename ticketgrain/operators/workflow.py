@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions.routing import classify_ticket, suggest_reply
-from ticketgrain.operators.scaling import SALTS, global_row_number, salted_join
+from ticketgrain.operators.scaling import global_row_number
 
 TERMINAL = ("approve", "reject")
 
@@ -35,45 +35,51 @@ def number_tickets(tickets: DataFrame, order: str = "created_at", key: str = "ke
     return global_row_number(tickets, [F.asc(order), F.asc(key)], "id")
 
 
+def _place() -> Column:
+    """Time and id of an action as one fixed-width number, so that minima stay hash aggregates."""
+    return F.unix_micros("ts").cast("decimal(19,0)") * F.lit(2**62).cast("decimal(19,0)") + F.col("action_id")
+
+
+def _winners(actions: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The actions at the chosen places (ticket_id, place), of which each ticket has one."""
+    return actions.withColumn("place", _place()).join(chosen, ["ticket_id", "place"], "left_semi")
+
+
+def _first_places(actions: DataFrame) -> DataFrame:
+    terminal = actions.filter(F.col("action").isin(*TERMINAL))
+    return terminal.groupBy("ticket_id").agg(F.min(_place()).alias("place"))
+
+
 def first_terminal(actions: DataFrame) -> DataFrame:
-    """The first approve or reject of each ticket: ticket_id, t_ts, t_id, t_action, t_text, t_reviewer.
+    """The first approve or reject of each ticket: ticket_id, t_action, t_text, t_reviewer.
 
-    Partial minima are taken before the shuffle, so a ticket with very many
-    actions sends one row per task.
+    Numbers alone are aggregated, before the shuffle too, so a ticket with very many actions
+    sends one row per task; the texts of the winners are fetched afterwards.
     """
-    entry = F.struct(
-        F.col("ts").alias("t_ts"),
-        F.col("action_id").alias("t_id"),
+    found = _winners(actions, _first_places(actions))
+    return found.select(
+        "ticket_id",
         F.col("action").alias("t_action"),
         F.col("text").alias("t_text"),
         F.col("reviewer").alias("t_reviewer"),
     )
-    return (
-        actions.filter(F.col("action").isin(*TERMINAL))
-        .groupBy("ticket_id")
-        .agg(F.min(entry).alias("_t"))
-        .select("ticket_id", "_t.*")
-    )
 
 
-def last_open_edit(actions: DataFrame, terminal: DataFrame) -> DataFrame:
-    """The last modify of each ticket before its terminal action.
+def last_open_edit(actions: DataFrame) -> DataFrame:
+    """The last modify of each ticket before its terminal action: ticket_id, edited_response.
 
-    Edits of one ticket may be a large part of the log, so they meet the ticket's
-    single terminal row through a salted join and are reduced again right after.
+    Edits of one ticket may be a large part of the log: as numbers they meet the ticket's one
+    terminal place, where the planner may split a hot ticket, and are reduced right after.
     """
-    edits = actions.filter(F.col("action") == "modify").select("ticket_id", "ts", "action_id", "text")
-    cut = terminal.select("ticket_id", "t_ts", "t_id")
-    joined = salted_join(edits, cut, ["ticket_id"], "left", SALTS)
-    open_edit = F.col("t_ts").isNull() | (
-        F.struct("ts", "action_id") < F.struct(F.col("t_ts").alias("ts"), F.col("t_id").alias("action_id"))
-    )
-    return (
-        joined.filter(open_edit)
+    edits = actions.filter(F.col("action") == "modify").select("ticket_id", _place().alias("place"))
+    cut = _first_places(actions).withColumnRenamed("place", "cut")
+    joined = edits.join(cut, "ticket_id", "left")
+    last = (
+        joined.filter(F.col("cut").isNull() | (F.col("place") < F.col("cut")))
         .groupBy("ticket_id")
-        .agg(F.max(F.struct("ts", "action_id", "text")).alias("_e"))
-        .select("ticket_id", F.col("_e.text").alias("edited_response"))
+        .agg(F.max("place").alias("place"))
     )
+    return _winners(actions, last).select("ticket_id", F.col("text").alias("edited_response"))
 
 
 def review_state(tickets: DataFrame, actions: DataFrame) -> DataFrame:
@@ -83,7 +89,7 @@ def review_state(tickets: DataFrame, actions: DataFrame) -> DataFrame:
     edit replaces the suggestion; approving without a text sends the suggestion.
     """
     terminal = first_terminal(actions)
-    edits = last_open_edit(actions, terminal)
+    edits = last_open_edit(actions)
     joined = (
         tickets.drop("status", "final_response", "reviewed_by")
         .join(terminal, tickets["id"] == terminal["ticket_id"], "left")
@@ -105,7 +111,7 @@ def review_state(tickets: DataFrame, actions: DataFrame) -> DataFrame:
             "final_response": F.when(approved, F.coalesce("t_text", suggestion)),
             "reviewed_by": F.when(approved, F.coalesce("t_reviewer", F.lit(V.DEFAULT_REVIEWER))),
         }
-    ).drop("t_ts", "t_id", "t_action", "t_text", "t_reviewer", "edited_response")
+    ).drop("t_action", "t_text", "t_reviewer", "edited_response")
 
 
 def pending_tickets(tickets: DataFrame, actions: DataFrame) -> DataFrame:

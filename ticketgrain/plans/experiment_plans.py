@@ -269,14 +269,14 @@ def formatted_metrics(spark, sf):
     )
 
 
-# Only rank variants (positions 1 to 4) are compared along ranks.
+# Only rank variants are compared along ranks.
 @query(
     "rank_gain",
     sql_rounded(
         f"""SELECT family, ({_RANK})::BIGINT AS rank, model, avg_rouge1_f AS value,
     CASE WHEN lag(avg_rouge1_f) OVER w <> 0 THEN (avg_rouge1_f - lag(avg_rouge1_f) OVER w) /
       lag(avg_rouge1_f) OVER w * 100 END AS gain_pct, (avg_rouge1_f - lag(avg_rouge1_f) OVER w) * 100 AS gain_points
-    FROM {_MODELS} WINDOW w AS (PARTITION BY family ORDER BY {_RANK}, position)""",
+    FROM {_MODELS} WHERE {_KIND} = 'lora_rank' WINDOW w AS (PARTITION BY family ORDER BY {_RANK}, position)""",
         "value gain_pct gain_points",
         DIGITS,
     ),

@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketgrain.functions import text as tx
@@ -254,29 +254,34 @@ SELECT event_id AS key, event_type AS subject, props AS body, ts AS created_at,
 FROM (SELECT *, lower(event_type || ' ' || props) AS txt FROM events WHERE event_type <> '' AND props <> '')
 """
 
-# A user is a ticket; clicks edit, purchases approve, errors reject.
-ACTIONS_SQL = """
-SELECT user_id AS ticket_id, event_id AS action_id, ts,
+# A user's day is a ticket; clicks edit, purchases approve, errors reject.
+_TICKET_SQL = "(user_id * 1000 + dayofyear(ts))"
+ACTIONS_SQL = f"""
+SELECT {_TICKET_SQL} AS ticket_id, event_id AS action_id, ts,
        CASE event_type WHEN 'click' THEN 'modify' WHEN 'purchase' THEN 'approve' ELSE 'reject' END AS action,
        props AS text, 'agent-' || (event_id % 7) AS reviewer
 FROM events
-WHERE event_type = 'click' OR (event_type = 'purchase' AND value > 150) OR (event_type = 'error' AND value > 150)
+WHERE event_type IN ('click', 'purchase', 'error')
 """
-# Tickets of the review queries: one per user, opened with the user's first event.
-REVIEW_TICKETS_SQL = """
-SELECT user_id AS id, 'suggested reply for ' || user_id AS suggested_response, min(ts) AS created_at
-FROM events GROUP BY user_id
+# Tickets of the review queries, opened with the first event of the user's day.
+REVIEW_TICKETS_SQL = f"""
+SELECT {_TICKET_SQL} AS id, 'suggested reply for ' || {_TICKET_SQL} AS suggested_response, min(ts) AS created_at
+FROM events GROUP BY {_TICKET_SQL}
 """
 
 
+def _ticket() -> Column:
+    return F.col("user_id") * 1000 + F.dayofyear("ts")
+
+
 def actions(spark: SparkSession, sf: str) -> DataFrame:
     return actions_of(table(spark, sf, "events"))
 
 
 def actions_of(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
-    return events.filter((kind == "click") | (kind.isin("purchase", "error") & (F.col("value") > 150))).select(
-        F.col("user_id").alias("ticket_id"),
+    return events.filter(kind.isin("click", "purchase", "error")).select(
+        _ticket().alias("ticket_id"),
         F.col("event_id").alias("action_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(kind == "click", "modify").when(kind == "purchase", "approve").otherwise("reject").alias("action"),
@@ -286,7 +291,7 @@ def actions_of(events: DataFrame) -> DataFrame:
 
 
 def review_tickets(spark: SparkSession, sf: str) -> DataFrame:
-    opened = table(spark, sf, "events").groupBy(F.col("user_id").alias("id"))
+    opened = table(spark, sf, "events").groupBy(_ticket().alias("id"))
     return opened.agg(F.min("ts").cast("timestamp").alias("created_at")).select(
         "id",
         F.concat(F.lit("suggested reply for "), F.col("id").cast("string")).alias("suggested_response"),

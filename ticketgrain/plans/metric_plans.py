@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ticketgrain.functions import fixed_values as V
 from ticketgrain.operators import classification as cl
 from ticketgrain.operators import generation as gen
 from ticketgrain.operators.scaling import stage
@@ -82,8 +83,7 @@ def class_report(spark, sf):
     LEFT JOIN cells ON truth = a.label AND prediction = b.label""",
 )
 def confusion(spark, sf):
-    cells = stage(_cells(spark, sf))
-    return cl.dense_confusion(cells, cl.label_values(cells))
+    return cl.dense_confusion(_cells(spark, sf), sorted(V.TICKET_PRIORITIES))
 
 
 @query(
@@ -93,8 +93,7 @@ def confusion(spark, sf):
     coalesce(sum(n) FILTER (prediction = 'medium'), 0)::BIGINT AS medium FROM cells GROUP BY truth""",
 )
 def confusion_view(spark, sf):
-    cells = stage(_cells(spark, sf))
-    return cl.confusion_matrix(cells, cl.label_values(cells))
+    return cl.confusion_matrix(_cells(spark, sf), sorted(V.TICKET_PRIORITIES))
 
 
 @query(
@@ -193,7 +192,7 @@ def bleu(spark, sf):
 
 @query("pair_lengths", _WITH + f"SELECT conv_id, turn, pred_length, ref_length FROM ({_SCORES_SQL})")
 def pair_lengths(spark, sf):
-    return _scores(spark, sf).select(*m.PAIR_KEYS, "pred_length", "ref_length")
+    return gen.pair_lengths(m.pairs(spark, sf), m.PAIR_KEYS)
 
 
 _SUMMARY_COLUMNS = "avg_rouge1_f std_rouge1_f avg_rouge2_f std_rouge2_f avg_bleu avg_pred_length avg_ref_length"
@@ -223,7 +222,7 @@ def gen_summary(spark, sf):
     ),
 )
 def length_ratio(spark, sf):
-    return rounded(gen.length_ratio(_scores(spark, sf)))
+    return rounded(gen.length_ratio(gen.pair_lengths(m.pairs(spark, sf), m.PAIR_KEYS)))
 
 
 @query("rouge_stemmed")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions import text as tx
 from ticketgrain.operators import features, profiling
-from ticketgrain.operators.scaling import stage
 from ticketgrain.plans import mappings as m
 from ticketgrain.plans.registry import query, rounded, sql_basic_clean, sql_rounded, sql_words, table
 
@@ -223,17 +223,15 @@ def vocabulary(spark, sf):
 
 
 _IDS_SQL = f"""
-WITH vocab AS ({_vocab_top_sql(500)}),
+WITH vocab AS ({_vocab_top_sql(20000)}),
 ids AS (SELECT t.doc_id, list(coalesce(v.id, 1) ORDER BY t.pos) AS ids FROM ({_TOKENS_SQL}) t
         LEFT JOIN vocab v USING (token) WHERE t.pos <= 128 GROUP BY t.doc_id)
 SELECT d.doc_id, list_resize(coalesce(ids, []), 128, 0) AS ids FROM documents d LEFT JOIN ids USING (doc_id)"""
 
 
 def _encoded(spark, sf):
-    """Ids under a small vocabulary, so that unknown tokens occur."""
     docs = _cleaned(spark, sf)
-    vocab = stage(features.vocabulary_top(docs, "doc_id", size=500))
-    return features.encode_padded(docs, "doc_id", vocab)
+    return features.encode_padded(docs, "doc_id", features.vocabulary_top(docs, "doc_id"))
 
 
 @query("encoded_docs", f"SELECT doc_id, array_to_string(ids, ' ') AS ids FROM ({_IDS_SQL})")
@@ -256,37 +254,48 @@ def attention_mask(spark, sf):
 _STOP_WORDS = ("and", "the", "of", "that", "is", "die", "der", "und", "le", "la", "de", "que")
 
 
-def _tfidf_sql(min_chars: int, min_df: int, max_features: int, stop_words=()) -> str:
+_CLEAN_TEXT_SQL = f"SELECT doc_id, {sql_basic_clean('text')} AS text FROM documents"
+
+
+def _tfidf_sql(min_chars: int, min_df: int, max_features: int, stop_words=(), fitted: str = "true") -> str:
+    """``fitted`` says on which documents the terms are chosen; all are transformed."""
     tokens = f"regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{{min_chars},}}')"
     if stop_words:
         listed = ", ".join(f"'{w}'" for w in stop_words)
         tokens = f"list_filter({tokens}, lambda t: t NOT IN ({listed}))"
     return f"""
 WITH toks AS MATERIALIZED (SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) AS pos
-                           FROM (SELECT doc_id, {tokens} AS t FROM documents)),
+                           FROM (SELECT doc_id, {tokens} AS t FROM ({_CLEAN_TEXT_SQL}))),
 terms AS (SELECT doc_id, tok AS term FROM toks UNION ALL
           SELECT doc_id, tok || ' ' || nxt FROM (SELECT doc_id, tok, lead(tok) OVER (PARTITION BY doc_id ORDER BY pos)
           AS nxt FROM toks) WHERE nxt IS NOT NULL),
 tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
-top AS MATERIALIZED (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY term HAVING count(*) >= {min_df}
+fit AS MATERIALIZED (SELECT doc_id FROM documents WHERE {fitted}),
+top AS MATERIALIZED (SELECT term, count(*) AS df, sum(tf) AS total FROM tf JOIN fit USING (doc_id) GROUP BY term HAVING count(*) >= {min_df}
         ORDER BY total DESC, term LIMIT {max_features}),
 idf AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS feature,
-        ln((1 + (SELECT count(*) FROM documents))::DOUBLE / (1 + df)) + 1 AS idf FROM top),
+        ln((1 + (SELECT count(*) FROM fit))::DOUBLE / (1 + df)) + 1 AS idf FROM top),
 raw AS (SELECT doc_id, term, feature, tf * idf AS w FROM tf JOIN idf USING (term))
 SELECT doc_id, term, feature, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw"""
 
 
 @query("tfidf_terms", _tfidf_sql(2, 1, 10_000))
 def tfidf_terms(spark, sf):
-    """The plain preset: tokens of two characters and more, 10,000 features."""
-    docs = table(spark, sf, "documents")
-    model = features.fit_tfidf(docs, "doc_id", max_features=10_000, min_df=1, min_token_chars=2)
-    return rounded(model.transform_long(docs, "doc_id"))
+    """The plain preset on cleaned text: tokens of two characters and more, 10,000 features."""
+    docs = _cleaned(spark, sf)
+    return rounded(features.fit_tfidf(docs, **V.TFIDF_PLAIN).transform_long(docs, "doc_id"))
 
 
 @query("tfidf_terms_stop_words", _tfidf_sql(1, 5, 50_000, _STOP_WORDS))
 def tfidf_terms_stop_words(spark, sf):
     """The full preset with a given stop-word list."""
-    docs = table(spark, sf, "documents")
-    model = features.fit_tfidf(docs, "doc_id", stop_words=_STOP_WORDS)
+    docs = _cleaned(spark, sf)
+    return rounded(features.fit_tfidf(docs, stop_words=_STOP_WORDS, **V.TFIDF_FULL).transform_long(docs, "doc_id"))
+
+
+@query("tfidf_unseen", _tfidf_sql(2, 1, 10_000, fitted="lang <> 'es'"))
+def tfidf_unseen(spark, sf):
+    """Fitted without one language, then applied to all documents: that one brings unseen terms."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", tx.basic_clean(F.col("text")).alias("text"))
+    model = features.fit_tfidf(docs.filter("lang <> 'es'"), **V.TFIDF_PLAIN)
     return rounded(model.transform_long(docs, "doc_id"))

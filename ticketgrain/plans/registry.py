@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketgrain.functions.fixed_values import WHITESPACE_CHARS, WHITESPACE_CLASS
-from ticketgrain.operators.scaling import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,13 +28,15 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-# Tables of long texts, whose rows cost enough to be spread over all cores.
+# The driver's tables of long texts are single files without splits.
 _TEXT_KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"], "pages": ["page_id"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, *_TEXT_KEYS[name]) if name in _TEXT_KEYS else df
+    if name in _TEXT_KEYS and len(df.inputFiles()) == 1:
+        return df.repartition(*_TEXT_KEYS[name])  # costly work per row: not all in one scan task
+    return df
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -103,7 +103,10 @@ def ticket_input(spark, sf):
 _PART_TAGS_SQL = """SELECT p_partkey, p_size,
     CASE WHEN p_size % 4 > 0 THEN p_brand ELSE '' END AS tag_1,
     CASE WHEN p_size % 3 > 0 THEN p_type END AS tag_2,
-    CASE WHEN p_size % 2 > 0 THEN p_name END AS tag_3 FROM part"""
+    CASE WHEN p_size % 2 > 0 THEN p_name END AS tag_3,
+    CASE WHEN p_size % 5 > 1 THEN 'size ' || p_size END AS tag_4, CASE WHEN p_size % 5 = 0 THEN p_brand ELSE '' END AS tag_5,
+    CASE WHEN p_size % 7 = 0 THEN p_type END AS tag_6, CASE WHEN p_size % 6 = 0 THEN p_name END AS tag_7,
+    CASE WHEN p_size > 40 THEN 'large' ELSE '' END AS tag_8 FROM part"""
 
 
 def _tagged_parts(spark, sf):
@@ -113,17 +116,21 @@ def _tagged_parts(spark, sf):
         F.when(size % 4 > 0, F.col("p_brand")).otherwise("").alias("tag_1"),
         F.when(size % 3 > 0, F.col("p_type")).alias("tag_2"),
         F.when(size % 2 > 0, F.col("p_name")).alias("tag_3"),
+        F.when(size % 5 > 1, F.concat(F.lit("size "), size.cast("string"))).alias("tag_4"),
+        F.when(size % 5 == 0, F.col("p_brand")).otherwise("").alias("tag_5"),
+        F.when(size % 7 == 0, F.col("p_type")).alias("tag_6"),
+        F.when(size % 6 == 0, F.col("p_name")).alias("tag_7"),
+        F.when(size > 40, F.lit("large")).otherwise("").alias("tag_8"),
     )
 
 
 @query(
     "tags",
-    f"""SELECT p_partkey, coalesce(nullif(concat_ws(', ', nullif(tag_1, ''), nullif(tag_2, ''),
-    nullif(tag_3, '')), ''), 'None') AS tags FROM ({_PART_TAGS_SQL})""",
+    f"""SELECT p_partkey, coalesce(nullif(concat_ws(', ', {", ".join(f"nullif({c}, '')" for c in V.TAG_COLUMNS)}), ''), 'None') AS tags FROM ({_PART_TAGS_SQL})""",
 )
 def tags(spark, sf):
     parts = _tagged_parts(spark, sf)
-    return parts.select("p_partkey", tx.format_tags([F.col(f"tag_{i}") for i in (1, 2, 3)]).alias("tags"))
+    return parts.select("p_partkey", tx.format_tags([F.col(c) for c in V.TAG_COLUMNS]).alias("tags"))
 
 
 @query(

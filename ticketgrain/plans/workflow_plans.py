@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ticketgrain import schemas
@@ -13,7 +17,7 @@ from ticketgrain.operators import experiments, features, models, sampling
 from ticketgrain.operators import workflow as wf
 from ticketgrain.operators.scaling import stage
 from ticketgrain.plans import mappings as m
-from ticketgrain.plans.registry import query, rounded, sql_prompt, sql_strip, sql_text, table
+from ticketgrain.plans.registry import query, rounded, sql_prompt, sql_text, table
 from ticketgrain.session import scratch_path
 from ticketgrain.sources import readers, writers
 from ticketgrain.streaming import intake as streams
@@ -198,7 +202,7 @@ def results_glob(spark, sf):
 
 @query(
     "predictions_roundtrip",
-    """SELECT conv_id, turn, text AS input, substr(text, 1, 20) AS output, role AS reference
+    """SELECT conv_id, turn, text AS input, text AS output, role AS reference
     FROM conversations""",
 )
 def predictions_roundtrip(spark, sf):
@@ -206,7 +210,7 @@ def predictions_roundtrip(spark, sf):
         "conv_id",
         "turn",
         F.col("text").alias("input"),
-        F.substring("text", 1, 20).alias("output"),
+        F.col("text").alias("output"),
         F.col("role").alias("reference"),
     )
     path = scratch_path(spark, "predictions")
@@ -295,51 +299,71 @@ def manifest_upsert(spark, sf):
 
 
 # --- models -------------------------------------------------------------------
-def _lr_input(spark, sf):
+def _lr_splits(spark, sf):
+    """Cleaned documents with class ids of the training split, as (train, test)."""
     docs = table(spark, sf, "documents").select(
         "doc_id", "lang", tx.basic_clean(F.col("text")).alias("text")
     )
-    index = features.label_index(docs, "lang")
+    split = stage(sampling.stratified_split(docs, "doc_id", "lang"))
+    index = features.label_index(split.filter("split = 'train'"), "lang")
     # numeric class ids, as the estimator wants them
-    data = features.encode_labels(docs, "lang", index)
-    data = data.withColumn("label", F.col("label_id").cast("double"))
-    model = features.fit_tfidf(docs, "doc_id", max_features=2_000, min_df=5)
-    return data, model
+    data = features.encode_labels(split, "lang", index).withColumn("label", F.col("label_id").cast("double"))
+    return data.filter("split = 'train'"), data.filter("split = 'test'")
 
 
 @query("lr_lang")
 def lr_lang(spark, sf):
-    """Predict the language: TF-IDF vectors, multinomial regression, summary measures."""
-    data, tfidf = _lr_input(spark, sf)
-    # written once, then read by every pass of the fit and by the prediction
-    vectors = stage(tfidf.to_pipeline().transform(data).select("label", "features"))
-    classifier = models.fit_logistic_regression(vectors)
-    predicted = models.predict(classifier, vectors)
+    """Predict the language of held-out documents: terms, idf and regression are fitted on the training split."""
+    train, test = _lr_splits(spark, sf)
+    tfidf = features.fit_tfidf(train, **V.TFIDF_PLAIN).to_pipeline()
+    # written once, then read by every pass of the fit
+    classifier = models.fit_logistic_regression(stage(tfidf.transform(train).select("label", "features")))
+    predicted = models.predict(classifier, tfidf.transform(test))
     cells = cl.confusion_counts(predicted, "label", "predicted")
     return rounded(cl.summary_metrics(cells), 4)
 
 
 @query("lr_saved_model")
 def lr_saved_model(spark, sf):
-    """Fit and save the whole pipeline, load it, count predictions per class."""
-    data, tfidf = _lr_input(spark, sf)
+    """Fit and save the whole pipeline (full preset), load it, count predictions per class of the held-out documents."""
+    train, test = _lr_splits(spark, sf)
 
     def fit():
-        steps = tfidf.to_pipeline()
-        vectors = stage(steps.transform(data).select("label", "features"))
-        classifier = models.fit_logistic_regression(vectors, max_iter=50, balanced=True)
-        return PipelineModel([*steps.stages, classifier])
+        steps = features.fit_tfidf(train, **V.TFIDF_FULL).to_pipeline()
+        vectors = stage(steps.transform(train).select("label", "features"))
+        return PipelineModel([*steps.stages, models.fit_logistic_regression(vectors, balanced=True)])
 
     model = models.fit_or_load(spark, scratch_path(spark, "lr-model"), fit)
-    predicted = models.predict(model, data.select("label", "text"))
+    predicted = models.predict(model, test.select("label", "text"))
     return cl.confusion_counts(predicted, "label", "predicted")
 
 
-def _echo_predictor():
-    """Stands in for a language model: answers with the last 60 characters of the prompt."""
+@query(
+    "lr_group_shares",
+    """SELECT source, lang, round(n::DOUBLE / sum(n) OVER (PARTITION BY source), 4) AS share
+    FROM (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL)""",
+)
+def lr_group_shares(spark, sf):
+    """With one feature for each group and next to no regularisation the fitted probabilities are the groups' shares."""
+    docs = table(spark, sf, "documents").select("source", "lang")
+    index = stage(features.label_index(docs, "lang"))
+    data = features.encode_labels(docs, "lang", index).withColumn("label", F.col("label_id").cast("double"))
+    one_hot = CountVectorizer(inputCol="_groups", outputCol="features", binary=True)
+    data = data.withColumn("_groups", F.array("source"))
+    vectors = one_hot.fit(data).transform(data)
+    classifier = models.fit_logistic_regression(stage(vectors.select("label", "features")), c=1e9)
+    groups = vectors.dropDuplicates(["source"]).select("source", "features")
+    shares = classifier.transform(groups).select("source", F.posexplode(vector_to_array("probability")).alias("id", "share"))
+    present = docs.distinct()
+    named = shares.join(index.select("id", F.col("label").alias("lang")), "id").join(present, ["source", "lang"])
+    return rounded(named.select("source", "lang", "share"), 4)
+
+
+def _digest_predictor():
+    """Stands in for a language model: answers with the digest of the whole prompt."""
 
     def predict(prompts):
-        return prompts.str.slice(-60)
+        return prompts.map(lambda p: hashlib.sha256(p.encode()).hexdigest())
 
     return predict
 
@@ -350,7 +374,7 @@ FROM documents"""
 
 @query(
     "scored_prompts",
-    f"""SELECT doc_id, instruction, input, {sql_strip(f"right({sql_prompt(V.CHAT_LAYOUT)}, 60)")} AS output, reference
+    f"""SELECT doc_id, instruction, input, sha256({sql_prompt(V.CHAT_LAYOUT)}) AS output, reference
     FROM ({_PROMPT_SQL})""",
 )
 def scored_prompts(spark, sf):
@@ -361,4 +385,4 @@ def scored_prompts(spark, sf):
         F.col("text").alias("input"),
         F.col("source").alias("output"),
     )
-    return models.score_prompts(samples, _echo_predictor, keep=("doc_id",))
+    return models.score_prompts(samples, _digest_predictor, keep=("doc_id",))

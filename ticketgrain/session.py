@@ -57,6 +57,18 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/ticketgrain-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/ticketgrain-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the staged tables and files this process has made; call it when their readers are done."""
+    while _SCRATCH:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
