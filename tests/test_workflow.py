@@ -138,7 +138,7 @@ def test_live_dashboard_equals_batch(spark, submissions, tmp_path):
     stream = spark.readStream.schema(schemas.SUBMISSIONS).option("maxFilesPerTrigger", 1).parquet(source)
     streams.start_dashboard(wf.intake(stream), f"{base}/table", f"{base}/checkpoint").awaitTermination()
     batch = wf.dashboard_distributions(wf.intake(submissions))
-    assert rows(spark.read.parquet(f"{base}/table")) == rows(batch)
+    assert rows(streams.read_dashboard(spark, f"{base}/table")) == rows(batch)
 
 
 def test_daily_dashboard_closes_days(spark, tmp_path):

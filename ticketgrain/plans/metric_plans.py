@@ -238,7 +238,47 @@ def rouge_l(spark, sf):
     return rounded(gen.rouge_l(m.pairs(spark, sf), keep=m.PAIR_KEYS))
 
 
-@query("rouge_l_bands")
+# Longest common subsequences by dynamic programming, one reference token in each step: a cell is the
+# largest so far of the cell before the step and, where the tokens agree, one more than its left neighbour.
+_ROUGE_L_SQL = f"""
+WITH RECURSIVE pairs AS MATERIALIZED ({m.PAIRS_SQL}),
+toks AS MATERIALIZED (SELECT conv_id, turn, {{p}} AS p, {{q}} AS q FROM pairs),
+a AS MATERIALIZED (SELECT conv_id, turn, unnest(p) AS tok, generate_subscripts(p, 1) AS j FROM toks),
+b AS MATERIALIZED (SELECT conv_id, turn, unnest(q) AS tok, generate_subscripts(q, 1) AS i FROM toks),
+dp AS (
+  SELECT conv_id, turn, tok, j, 0::BIGINT AS i, 0::BIGINT AS v FROM a
+  UNION ALL
+  SELECT conv_id, turn, tok, j, i, max(v) OVER (PARTITION BY conv_id, turn ORDER BY j) FROM (
+    SELECT d.conv_id, d.turn, d.tok, d.j, b.i, greatest(d.v, CASE WHEN d.tok = b.tok
+      THEN coalesce(lag(d.v) OVER (PARTITION BY d.conv_id, d.turn ORDER BY d.j), 0) + 1 ELSE 0 END) AS v
+    FROM dp d JOIN b ON b.conv_id = d.conv_id AND b.turn = d.turn AND b.i = d.i + 1)),
+longest AS (SELECT conv_id, turn, max(v) AS o FROM dp GROUP BY ALL),
+scored AS (SELECT t.conv_id, t.turn, coalesce(o, 0) AS o_l, len(p) AS p_l, len(q) AS q_l
+  FROM toks t LEFT JOIN longest l ON l.conv_id = t.conv_id AND l.turn = t.turn),
+rouge_l AS (SELECT conv_id, turn, {_prf_sql("l", "rougeL")} FROM scored)""".format(
+    **{
+        side: f"list_filter(string_split(regexp_replace(lower({text}), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')"
+        for side, text in (("p", "prediction"), ("q", "reference"))
+    }
+)
+
+
+@query(
+    "rouge_l_plain",
+    _ROUGE_L_SQL
+    + sql_rounded('SELECT conv_id, turn, "rougeL_p", "rougeL_r", "rougeL_f" FROM rouge_l', "rougeL_p rougeL_r rougeL_f"),
+)
+def rouge_l_plain(spark, sf):
+    return rounded(gen.rouge_l(m.pairs(spark, sf), use_stemmer=False, keep=m.PAIR_KEYS))
+
+
+@query(
+    "rouge_l_bands",
+    _ROUGE_L_SQL
+    + """SELECT band, count(f) AS n, round(count(f)::DOUBLE / (SELECT count(*) FROM rouge_l), 6) AS share
+    FROM (VALUES ('excellent'), ('good'), ('fair')) AS x(band) LEFT JOIN (SELECT "rougeL_f" AS f, CASE WHEN "rougeL_f" > 0.5
+      THEN 'excellent' WHEN "rougeL_f" >= 0.3 THEN 'good' ELSE 'fair' END AS band FROM rouge_l) USING (band) GROUP BY band""",
+)
 def rouge_l_bands(spark, sf):
     return rounded(gen.rouge_l_bands(gen.rouge_l(m.pairs(spark, sf), use_stemmer=False)))
 

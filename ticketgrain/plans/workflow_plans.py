@@ -21,6 +21,7 @@ from ticketgrain.plans.registry import query, rounded, sql_prompt, sql_text, tab
 from ticketgrain.session import scratch_path
 from ticketgrain.sources import readers, writers
 from ticketgrain.streaming import intake as streams
+from ticketgrain.streaming import review
 
 _INTAKE = f"({m.INTAKE_SQL})"
 _REPLY = "CASE priority " + " ".join(
@@ -75,6 +76,37 @@ def ticket_dashboard(spark, sf):
     return wf.dashboard_distributions(_tickets(spark, sf))
 
 
+# Fixed texts that hold words of the default rules, with the labels a reader expects.
+_DEFAULT_CASES = (
+    ("URGENT: payment failed with an error", "Incident", "Billing and Payments", "high"),
+    ("Question about the product manual", "Request", "Product Support", "low"),
+    ("Please upgrade my account", "Change", "Customer Service", "medium"),
+    ("The server is down", "Request", "Technical Support", "high"),
+    ("Slow performance, please investigate", "Problem", "Technical Support", "medium"),
+    ("Information on an invoice", "Request", "Billing and Payments", "low"),
+    ("Where to download the new feature", "Change", "Product Support", "high"),
+    ("Reset of my password", "Request", "Customer Service", "medium"),
+)
+
+
+@query(
+    "default_routing",
+    "WITH cases(k, subject, type, queue, priority) AS (VALUES "
+    + ", ".join(f"({k}, {', '.join(map(sql_text, case))})" for k, case in enumerate(_DEFAULT_CASES))
+    + ") SELECT event_id AS key, subject, type, queue, priority FROM events JOIN cases ON event_id % 8 = k",
+)
+def default_routing(spark, sf):
+    """The default rules on one fixed subject for each event."""
+    subjects = F.array(*[F.lit(subject) for subject, *_ in _DEFAULT_CASES])
+    raised = table(spark, sf, "events").select(
+        F.col("event_id").alias("key"),
+        F.get(subjects, F.pmod("event_id", F.lit(8)).cast("int")).alias("subject"),
+        F.concat(F.lit("ticket "), F.col("event_id").cast("string")).alias("body"),
+    )
+    routed = wf.intake(raised)
+    return routed.select("key", "subject", "classification.type", "classification.queue", "classification.priority")
+
+
 # --- review state -------------------------------------------------------------
 _STATE_SQL = f"""
 WITH actions AS ({m.ACTIONS_SQL}), tickets AS ({m.REVIEW_TICKETS_SQL}),
@@ -118,10 +150,13 @@ def review_counters(spark, sf):
 
 
 # --- streams ------------------------------------------------------------------
-def _event_stream(spark, sf):
+def _raw_event_stream(spark, sf):
     schema = table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return m.submissions_of(events)
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def _event_stream(spark, sf):
+    return m.submissions_of(_raw_event_stream(spark, sf))
 
 
 @query("streamed_intake", f"SELECT {_FLAT_SQL} FROM {_INTAKE}")
@@ -143,7 +178,44 @@ def live_dashboard(spark, sf):
     base = scratch_path(spark, "dashboard")
     tickets = wf.intake(_event_stream(spark, sf), **m.event_rules())
     streams.start_dashboard(tickets, f"{base}/table", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/table")
+    return streams.read_dashboard(spark, f"{base}/table")
+
+
+@query(
+    "daily_dashboard",
+    f"""SELECT strftime(created_at::DATE, '%Y-%m-%d') AS day, dimension, value, count(*) AS n FROM
+    (SELECT created_at, 'priority' AS dimension, priority AS value FROM {_INTAKE}
+     UNION ALL SELECT created_at, 'type', type FROM {_INTAKE}) GROUP BY ALL""",
+)
+def daily_dashboard(spark, sf):
+    base = scratch_path(spark, "daily")
+    tickets = wf.intake(_event_stream(spark, sf), **m.event_rules())
+    streams.start_dashboard(tickets, f"{base}/table", f"{base}/checkpoint", daily=True).awaitTermination()
+    days = streams.read_dashboard(spark, f"{base}/table")
+    return days.select(F.date_format("day.start", "yyyy-MM-dd").alias("day"), "dimension", "value", "n")
+
+
+@query("streamed_review", _STATE_SQL + "SELECT id, suggested_response, status, final_response, reviewed_by FROM state")
+def streamed_review(spark, sf):
+    """The review state from a stream of actions; equals the batch query."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    base = scratch_path(spark, "review-state")
+    actions = m.actions_of(_raw_event_stream(spark, sf))
+    review.start_review(actions, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    states = review.read_reviews(spark, f"{base}/table").withColumnRenamed("ticket_id", "id")
+    tickets = m.review_tickets(spark, sf).select("id", "suggested_response").join(states, "id", "left")
+    approved = F.col("status") == V.STATUS_APPROVED
+    suggestion = F.coalesce("edited_response", "suggested_response")
+    return tickets.select(
+        "id",
+        suggestion.alias("suggested_response"),
+        F.coalesce("status", F.lit(V.STATUS_PENDING)).alias("status"),
+        F.when(approved, F.coalesce("final_text", suggestion)).alias("final_response"),
+        F.when(approved, F.coalesce("reviewer", F.lit(V.DEFAULT_REVIEWER))).alias("reviewed_by"),
+    )
 
 
 # --- connectors ---------------------------------------------------------------
@@ -156,6 +228,21 @@ def csv_roundtrip(spark, sf):
     return readers.read_csv(spark, path, docs.schema)
 
 
+@query("csv_splits", "SELECT doc_id, text, CASE WHEN lang = 'en' THEN 'train' WHEN lang = 'de' THEN 'val' ELSE 'test' END AS split FROM documents")
+def csv_splits(spark, sf):
+    """Splits kept as tickets_<split>.csv, each loaded again."""
+    lang = F.col("lang")
+    split = F.when(lang == "en", "train").when(lang == "de", "val").otherwise("test")
+    docs = table(spark, sf, "documents").select("doc_id", "text", split.alias("split"))
+    base = scratch_path(spark, "csv-splits")
+    found = []
+    for name in ("train", "val", "test"):
+        part = docs.filter(F.col("split") == name).drop("split")
+        writers.write_csv(part, f"{base}/tickets_{name}.csv")
+        found.append(readers.load_split(spark, base, name, part.schema).withColumn("split", F.lit(name)))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query("json_roundtrip", "SELECT conv_id, turn, role, text FROM conversations")
 def json_roundtrip(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")

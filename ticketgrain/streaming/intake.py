@@ -6,7 +6,7 @@ operator.  The dashboard keeps one counter per (dimension, value).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,20 +41,29 @@ def daily_distributions(tickets: DataFrame, late: str = "1 day") -> DataFrame:
     )
 
 
-def start_dashboard(tickets: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Keep the current distributions as a parquet table that each batch replaces.
+def start_dashboard(tickets: DataFrame, table: str, checkpoint: str, daily: bool = False) -> StreamingQuery:
+    """Keep the current distributions, per day if wanted, as a parquet table.
 
-    The table has one row per priority and per type, whatever arrives.
+    Each batch writes a folder of its own below ``table``; ``read_dashboard`` takes the newest
+    complete one, so readers never meet a half-written state.
     """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
+    def add(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
 
+    distributions = daily_distributions if daily else live_distributions
     return (
-        live_distributions(tickets)
+        distributions(tickets)
         .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(replace)
+        .foreachBatch(add)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_dashboard(spark: SparkSession, table: str) -> DataFrame:
+    """The state after the last batch of ``start_dashboard``."""
+    batches = spark.read.parquet(table)
+    last = batches.select(F.max("batch")).scalar()
+    return batches.filter(F.col("batch") == last).drop("batch")

@@ -14,9 +14,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.operators.workflow import TERMINAL
@@ -81,3 +81,26 @@ def review_stream(actions: DataFrame) -> DataFrame:
     return keyed.groupBy("ticket_id").transformWithStateInPandas(
         statefulProcessor=_ReviewProcessor(), outputStructType=OUTPUT, outputMode="Update", timeMode="None"
     )
+
+
+def start_review(actions: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Append the state of every touched ticket to a parquet table, a folder per batch."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    return (
+        review_stream(actions)
+        .writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(add)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_reviews(spark: SparkSession, table: str) -> DataFrame:
+    """The latest state of every ticket that ``start_review`` has seen."""
+    states = spark.read.parquet(table)
+    last = states.groupBy("ticket_id").agg(F.max("batch").alias("batch"))
+    return states.join(last, ["ticket_id", "batch"]).drop("batch")
