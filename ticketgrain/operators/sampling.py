@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketgrain.operators.scaling import global_row_number, lookup_join, require_columns, stage
+from ticketgrain.operators.scaling import lookup_join, require_columns, stage
 
 _HEX_DIGITS = 4  # 65,536 buckets per stratum
 
@@ -21,34 +21,38 @@ def sample_order(row_id: str, seed: int) -> Column:
 
 
 def _largest_remainder(strata: DataFrame, label: str, size: str, draws: Column, name: str) -> DataFrame:
-    """Share ``draws`` over the strata in proportion to ``size``; leftovers by remainder, then label."""
-    total = strata.select(F.sum(size)).scalar()
-    exact = F.col(size) * draws / total
+    """Share ``draws`` over the strata in proportion to ``size``; leftovers by remainder, then label.
+
+    Its windows run over the strata: a row for each class, whatever the table holds.
+    """
+    everything = Window.partitionBy()
+    exact = F.col(size) * draws / F.sum(size).over(everything)
     shares = strata.withColumn("_floor", F.floor(exact)).withColumn("_rest", exact - F.col("_floor"))
-    ranked = global_row_number(shares, [F.desc("_rest"), F.asc(label)], "_rank")
-    missing = draws - ranked.select(F.sum("_floor")).scalar()
-    quota = F.col("_floor") + F.when(F.col("_rank") <= missing, 1).otherwise(0)
-    return ranked.withColumn(name, quota.cast("long")).drop("_floor", "_rest", "_rank")
+    rank = F.row_number().over(Window.orderBy(F.desc("_rest"), F.asc(label)))
+    missing = draws - F.sum("_floor").over(everything)
+    quota = F.col("_floor") + F.when(rank <= missing, 1).otherwise(0)
+    return shares.withColumn(name, quota.cast("long")).drop("_floor", "_rest")
 
 
 def split_quotas(
     df: DataFrame, stratify_by: str, test_size: float = 0.3, second_size: float = 0.5
 ) -> DataFrame:
     """Rows of each stratum that go to train, val and test."""
-    strata = stage(df.groupBy(stratify_by).agg(F.count(F.lit(1)).alias("n")))
-    small = strata.filter(F.col("n") < 2).limit(1).count()
-    if small:
-        raise ValueError("every class needs at least two rows to be split")
-    total = strata.select(F.sum("n")).scalar()
-    n_train = total - F.ceil(total * test_size)
-    first = _largest_remainder(strata, stratify_by, "n", n_train, "n_train")
-    first = stage(first.withColumn("_held", F.col("n") - F.col("n_train")))
-    held = first.select(F.sum("_held")).scalar()
-    n_val = held - F.ceil(held * second_size)
-    second = _largest_remainder(first, stratify_by, "_held", n_val, "n_val")
-    return second.select(
-        stratify_by, "n", "n_train", "n_val", (F.col("_held") - F.col("n_val")).alias("n_test")
+
+    def kept(size: str, share: float) -> Column:
+        total = F.sum(size).over(Window.partitionBy())
+        return total - F.ceil(total * share)
+
+    strata = df.groupBy(stratify_by).agg(F.count(F.lit(1)).alias("n")).withColumn("_draws", kept("n", test_size))
+    first = _largest_remainder(strata, stratify_by, "n", F.col("_draws"), "n_train")
+    first = first.withColumn("_held", F.col("n") - F.col("n_train")).withColumn("_draws", kept("_held", second_size))
+    second = _largest_remainder(first, stratify_by, "_held", F.col("_draws"), "n_val")
+    quotas = stage(
+        second.select(stratify_by, "n", "n_train", "n_val", (F.col("_held") - F.col("n_val")).alias("n_test"))
     )
+    if not quotas.filter(F.col("n") < 2).isEmpty():
+        raise ValueError("every class needs at least two rows to be split")
+    return quotas
 
 
 def stratified_split(
@@ -72,7 +76,7 @@ def stratified_split(
     # Null is a stratum of its own, distinct from every text.
     label = F.concat(F.lit("="), F.col(stratify_by).cast("string"))
     df = df.withColumn(stratum, F.coalesce(label, F.lit("")))
-    quotas = stage(split_quotas(df, stratum, test_size, second_size))
+    quotas = split_quotas(df, stratum, test_size, second_size)
 
     keyed = df.select(stratum, sample_order(row_id, seed).alias("_hash")).withColumn(
         "_bucket", F.substring("_hash", 1, _HEX_DIGITS)
@@ -109,7 +113,6 @@ def stratified_split(
             F.max(F.when(F.col("_cut") == "val", F.col("_hash"))).alias("_val_upto"),
         )
     )
-    limits = stage(limits)
     order = sample_order(row_id, seed)
     split = (
         F.when(order <= F.coalesce("_train_upto", F.lit("")), F.lit("train"))
