@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -96,6 +97,21 @@ def test_long_texts(tik):
         assert codec.encode(text) == tik.encode_ordinary(text)
 
 
+def test_long_white_space(tik, monkeypatch):
+    """What the library gives while it can, and no failure beyond."""
+    codec = byte_codec(*MULTI)
+    for length in (9, 10, 11, 5000):
+        for blank in (" ", "\n", " \t", "\u3000 ", "\x1c "):
+            for after in ("", "x", "9", "?", "\u00e9", "'s"):
+                text = "a b" + (blank * length)[:length] + after
+                monkeypatch.setattr("ticketgrain.llm.byte_bpe.PART_CHARS", 0)
+                monkeypatch.setattr("ticketgrain.llm.byte_bpe._LONG_SPACE", regex.compile(r"\p{White_Space}{10,}+"))
+                assert codec.encode(text) == tik.encode_ordinary(text), repr((blank, length, after))
+                monkeypatch.undo()
+    for text in (" " * 300_000 + "x", "\n" * 300_000, "y" + " " * 300_000):
+        assert codec.decode(codec.encode(text)).decode() == text
+
+
 def byte_rows(rows, tik):
     out = odd.Counter()
     for doc_id, text in rows:

@@ -2,6 +2,8 @@
 
 Long texts are cut before a space that follows an ASCII letter, digit or mark: no match of
 the pre-splitting pattern reaches over such a place, so the parts' ids join to the whole's.
+Very long white space, on which the library's own splitting fails, is one match but for a last
+character before other text, and is merged as such.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 from ticketgrain.llm.common import id_and_text, map_texts
 
 PART_CHARS = 32_768
+_LONG_SPACE = regex.compile(r"\p{White_Space}{4096,}+")
 _SAFE_CUT = regex.compile(r"(?<=[A-Za-z0-9.,;:!?])(?= )")
 
 
@@ -25,13 +28,22 @@ class ByteCodec:
         with open(rank_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        # everything is one match: merges a piece that was split off before
+        self.piece = tiktoken.Encoding("piece", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
         self.digits = {rank: str(rank).encode() for rank in ranks.values()}
 
     def encode(self, text: str) -> list[int]:
         if len(text) <= PART_CHARS:
             return self.encoding.encode_ordinary(text)
         ids: list[int] = []
-        for part in safe_parts(text):
+        at = 0
+        for space in _LONG_SPACE.finditer(text):
+            end = space.end() if space.end() == len(text) else space.end() - 1
+            for part in safe_parts(text[at : space.start()]):
+                ids += self.encoding.encode_ordinary(part)
+            ids += self.piece.encode_ordinary(text[space.start() : end])
+            at = end
+        for part in safe_parts(text[at:]):
             ids += self.encoding.encode_ordinary(part)
         return ids
 
