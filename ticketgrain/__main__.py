@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ticketgrain import jobs, schemas
+from ticketgrain.session import remove_scratch
 from ticketgrain.sources import readers
 
 
@@ -64,6 +65,7 @@ def main() -> None:
     else:
         done = jobs.profile(spark, args.splits, args.out, args.label)
     done.show(20, truncate=60)
+    remove_scratch(spark)
 
 
 if __name__ == "__main__":

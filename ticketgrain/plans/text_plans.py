@@ -281,7 +281,7 @@ def sample_counts(spark, sf):
 
 
 _TURNS_SQL = f"""SELECT conv_id, turn, {sql_text(V.RESPONSE_INSTRUCTION)} AS instruction, text AS input
-FROM conversations WHERE role = 'user'"""
+FROM conversations"""
 
 
 @query(
@@ -290,7 +290,7 @@ FROM conversations WHERE role = 'user'"""
     FROM ({_TURNS_SQL})""",
 )
 def chat_prompt(spark, sf):
-    turns = table(spark, sf, "conversations").filter(F.col("role") == "user")
+    turns = table(spark, sf, "conversations")
     instruction = F.lit(V.RESPONSE_INSTRUCTION)
     return turns.select(
         "conv_id",

@@ -348,6 +348,21 @@ def experiment_files(spark, sf):
     return rounded(experiments.explode_epochs(back).select(*columns), 9)
 
 
+@query(
+    "experiment_summary_csv",
+    f"""SELECT exp, greatest(max(val_f1_macro), 0) AS best_val_f1, count(*) AS epochs,
+    max_by(val_acc, epoch) AS final_val_acc, max_by(train_acc, epoch) AS final_train_acc FROM ({m.EPOCHS_SQL}) GROUP BY exp""",
+)
+def experiment_summary_csv(spark, sf):
+    """The flat summary beside the run records, read back from its CSV files."""
+    epochs = m.epochs(spark, sf)
+    summary = experiments.best_and_last(epochs).drop("last_epoch", "final_train_loss")
+    runs = summary.select(F.struct(F.col("exp").cast("string").alias("name")).alias("config"))
+    base = scratch_path(spark, "experiments")
+    writers.write_experiments(runs, summary, base)
+    return readers.read_csv(spark, f"{base}/summary", summary.schema)
+
+
 @query(
     "review_sheet",
     """SELECT row_number() OVER (ORDER BY doc_id) AS id, substr(text, 1, 500) AS input FROM
