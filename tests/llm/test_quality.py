@@ -51,7 +51,7 @@ def test_odd_rows(spark):
 def test_planted(spark):
     """Clean prose stays, noise goes, and unknown languages are left to the base rules."""
     clean = [(i, f"The story of the {i} is that it was in the house by the river and with a man from the town. " + t, "en")
-             for i, t in enumerate(" ".join(f"name{(i * k) % 97} of the" for k in range(30)) for i in range(40))]
+             for i, t in enumerate(" ".join(f"name{(i * k) % 97} of the" for k in range(30)) for i in range(1, 41))]
     shout = (900, " ".join(f"WORD{chr(65 + i % 26)}{chr(65 + i // 26)}!!" for i in range(80)), "en")
     marks = (901, " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}###" for i in range(80)), "en")
     other = (902, shout[1], "xx")
