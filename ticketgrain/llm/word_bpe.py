@@ -16,11 +16,31 @@ import numpy as np
 from tokenizers import Tokenizer, pre_tokenizers
 
 # letters whose lower case is one letter of the same set, composed as NFC wants them; ASCII punctuation but "'"
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
 WORDS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)\n|([^\n]+)\n")
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 250_000
 JOINED = 2_000
 
 
+class _Memo(dict):
+    """Keeps what is asked for again soon; most words come once and would only take room."""
+
+    def __init__(self):
+        super().__init__()
+        self.young: set = set()
+
+    def missing(self, wanted: set) -> list:
+        """What to learn for ``wanted``; forgets what was learnt last time and is not wanted again."""
+        new = wanted.difference(self)
+        for key in self.young.difference(wanted):
+            self.pop(key, None)
+        if len(self) > MEMO_ENTRIES:
+            self.clear()
+            new = wanted
+        self.young = new
+        return list(new)
+
+
 class WordEncoder:
     """Little-endian unsigned 32-bit ids of UTF-8 texts."""
 
@@ -32,39 +52,45 @@ class WordEncoder:
         self.letters.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.plain = Tokenizer(self.whole.model)  # ASCII letters stand for themselves
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocab = self.whole.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.words, self.pieces = _Memo(), _Memo()
 
     def encode(self, texts: Iterable[bytes]) -> list[bytes]:
         split = [text.split() for text in texts]  # bytes.split cuts at ASCII white space only
-        if len(self.words) > MEMO_ENTRIES:
-            self.words.clear()
-        if len(self.pieces) > MEMO_ENTRIES:
-            self.pieces.clear()
-        self._learn(list(set().union(*split).difference(self.words)))
+        self._learn(self.words.missing(set().union(*split)))
         ids_of = self.words.__getitem__
         return [b"".join(map(ids_of, parts)) for parts in split]
 
     def _learn(self, missing: list[bytes]) -> None:
         if not missing:
             return
-        pieces = self.pieces
         lines = (b"\n".join(missing) + b"\n").decode("utf-8", "replace")
-        parts = [(letters.lower(), tail, other) for letters, tail, other in WORDS.findall(lines)]
-        new = list({letters for letters, _, _ in parts}.difference(pieces))
-        for start in range(0, len(new), JOINED):
-            part = [p for p in new[start : start + JOINED] if p]
-            done = self.letters.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(done.ids, dtype="<u4").tobytes()
-            ends = (np.searchsorted(np.array(done.word_ids), np.arange(len(part) + 1)) * 4).tolist()
-            pieces.update(zip(part, map(ids.__getitem__, map(slice, ends, ends[1:])), strict=False))
-        rest = list({x for _, tail, other in parts for x in (tail, other) if x}.difference(pieces))
-        pieces.update(zip(rest, self._whole(rest), strict=True))
-        pieces[""] = b""
-        self.words.update(
-            (word, pieces[letters] + pieces[tail] if tail else pieces[letters or other])
-            for word, (letters, tail, other) in zip(missing, parts, strict=True)
-        )
+        letters, tails, others = zip(*WORDS.findall(lines), strict=True)
+        heads = [low or other for low, other in zip(map(str.lower, letters), others, strict=True)]
+        new = self.pieces.missing({"", *heads, *tails})
+        known = self.pieces
+        simple = [p for p in new if LETTERS.fullmatch(p)]
+        ascii_only = [p for p in simple if p.isascii()]
+        self._joined(self.plain, ascii_only)
+        self._joined(self.letters, [p for p in simple if not p.isascii()])
+        rest = [p for p in new if not LETTERS.fullmatch(p)]
+        known.update(zip(rest, self._whole(rest), strict=True))
+        ids = [a + b for a, b in zip(map(known.__getitem__, heads), map(known.__getitem__, tails), strict=True)]
+        self.words.update(zip(missing, ids, strict=True))
+
+    def _joined(self, tokenizer: Tokenizer, pieces: list[str]) -> None:
+        """A piece's last token, and no other, ends a word."""
+        joined = [" ".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
+        for i, done in enumerate(tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            tokens = np.array(done.ids, dtype="<u4")
+            ends = [0, *(4 * (np.flatnonzero(self.last[tokens]) + 1)).tolist()]
+            ids = tokens.tobytes()
+            part = pieces[i * JOINED : (i + 1) * JOINED]
+            self.pieces.update(zip(part, [ids[a:b] for a, b in zip(ends, ends[1:])], strict=True))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         done = self.whole.encode_batch(texts, add_special_tokens=False)
