@@ -44,34 +44,42 @@ def sentence_end_ids(tokenizer_path: str) -> np.ndarray:
     return ends
 
 
-def cheapest_cuts(ends: np.ndarray, penalties: np.ndarray, size: int = SEQUENCE_TOKENS) -> list[float]:
-    """Costs and back pointers; see ``plan_cuts``."""
-    positions = ends.tolist()
-    extra: dict[int, list[int]] = {}
+def cheapest_cuts(ends: np.ndarray, penalties: np.ndarray, size: int = SEQUENCE_TOKENS) -> tuple[list[float], list[int]]:
+    """Cost of the cheapest chain of windows up to each place (ascending, from 0 on), and the place before it."""
+    n = len(ends)
+    index = np.full(int(ends[-1]) + 1, -1)
+    index[ends] = np.arange(n)
+    # windows of exactly a power of two tokens: pairs of places, by the later one
+    later, earlier = [], []
     power = 1
-    while power < size:  # windows of exactly a power of two tokens
-        at = np.searchsorted(ends, ends - power)
-        for i in np.flatnonzero((ends >= power) & (ends[np.minimum(at, len(ends) - 1)] == ends - power)).tolist():
-            extra.setdefault(i, []).append(int(at[i]))
+    while power < size:
+        first = int(np.searchsorted(ends, power))
+        source = index[ends[first:] - power]
+        fits = np.flatnonzero(source >= 0)
+        later.append(fits + first)
+        earlier.append(source[fits])
         power *= 2
-    cost = [0.0] * len(positions)
-    back = [0] * len(positions)
-    queue = deque([0])  # places j by ascending cost[j] + position[j]
-    weight = [float(positions[0])] + [0.0] * (len(positions) - 1)
-    fines = penalties.tolist()
-    for i in range(1, len(positions)):
+    later, earlier = np.concatenate(later), np.concatenate(earlier)
+    order = np.argsort(later, kind="stable")
+    sources = earlier[order].tolist()
+    begins = np.searchsorted(later[order], np.arange(n + 1)).tolist()
+
+    positions, fines = ends.tolist(), penalties.tolist()
+    cost, back, weight = [0.0] * n, [0] * n, [0.0] * n
+    queue = deque([0])  # places by ascending weight: cost and position
+    for i in range(1, n):
         here = positions[i]
         while positions[queue[0]] < here - size:
             queue.popleft()
-        best = weight[queue[0]] + size - here
         source = queue[0]
-        for j in extra.get(i, ()):
+        best = weight[source] + size - here
+        for j in sources[begins[i] : begins[i + 1]]:
             if cost[j] < best:
                 best, source = cost[j], j
-        cost[i] = best + fines[i]
+        cost[i] = best = best + fines[i]
         back[i] = source
-        weight[i] = cost[i] + here
-        while queue and weight[queue[-1]] >= weight[i]:
+        weight[i] = best = best + here
+        while queue and weight[queue[-1]] >= best:
             queue.pop()
         queue.append(i)
     return cost, back
@@ -87,15 +95,15 @@ def plan_cuts(
     is made up by windows of powers of two tokens.  Any other plan may stop up to ``size`` tokens
     earlier, where it is cheapest, and the rest goes to the next plan.
     """
-    ends = np.union1d(np.union1d(doc_ends, sentence_ends), [0, total])
-    gaps = np.diff(ends)
-    wide = np.flatnonzero(gaps > size)
-    forced = [np.arange(ends[i] + size, ends[i + 1], size) for i in wide.tolist()]
-    if forced:
-        ends = np.union1d(ends, np.concatenate(forced))
-    penalties = np.full(len(ends), float(FORCED_PENALTY))
-    penalties[np.isin(ends, sentence_ends)] = SENTENCE_PENALTY
-    penalties[np.isin(ends, doc_ends)] = 0.0
+    is_doc, is_sentence = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+    is_doc[doc_ends], is_sentence[sentence_ends] = True, True
+    marks = is_doc | is_sentence
+    marks[[0, total]] = True
+    ends = np.flatnonzero(marks)
+    for i in np.flatnonzero(np.diff(ends) > size).tolist():
+        marks[ends[i] + size : ends[i + 1] : size] = True
+    ends = np.flatnonzero(marks)
+    penalties = np.where(is_doc[ends], 0.0, np.where(is_sentence[ends], SENTENCE_PENALTY, FORCED_PENALTY))
     cost, back = cheapest_cuts(ends, penalties, size)
     near = np.flatnonzero(ends > total - size)
     if final:  # the rest behind each place as powers of two, each further one cut inside a sentence
