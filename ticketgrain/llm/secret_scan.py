@@ -128,10 +128,10 @@ def redact_secrets(
     @F.pandas_udf("string")
     def redact(texts):
         codec = byte_codec(rank_path, pattern)
-        held = pc.match_substring_regex(pa.array(texts, pa.string()), _MAY_HOLD)
-        return texts.mask(
-            held.fill_null(False).to_numpy(zero_copy_only=False),
-            texts.map(lambda t: t if t is None else redact_text(t, sum(scan_text(t, codec), []), mark)),
-        )
+        held = pc.match_substring_regex(pa.array(texts, pa.string()), _MAY_HOLD).fill_null(False)
+        clean = texts.copy()
+        for i in pc.indices_nonzero(held).to_pylist():
+            clean.iat[i] = redact_text(texts.iat[i], sum(scan_text(texts.iat[i], codec), []), mark)
+        return clean
 
     return docs.withColumn(text_col, redact(quoted(text_col)))
