@@ -138,7 +138,10 @@ def repeated_runs(docs: DataFrame, least: int = MIN_WORDS, id_col: str = "doc_id
     lines = staged(map_texts(rows, cut, schema), "lines")
 
     places = lines.select("key", "tie", F.explode(F.arrays_zip("at", "grams")).alias("x")).select("key", "tie", "x.at", "x.grams")
-    repeated = places.groupBy("grams").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grams")
+    # tables of their own: the joins may then split the rows of a passage that many documents share
+    repeated = staged(
+        places.groupBy("grams").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grams"), "repeated-grams"
+    )
     # at most as many positions as the document has lines
     hits = places.join(repeated, "grams").groupBy("key", "tie").agg(F.collect_set("at").alias("hits"))
 
@@ -156,7 +159,9 @@ def repeated_runs(docs: DataFrame, least: int = MIN_WORDS, id_col: str = "doc_id
         map_texts(around, lay, "content binary, key long, tie long, first int, last int", text="hashes"), "line-windows"
     )
     place = F.struct("key", "tie", "first")
-    origin = laid.groupBy("content").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    origin = staged(
+        laid.groupBy("content").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "origins"
+    )
     return (
         laid.join(origin, "content")
         .filter(place != F.col("origin"))
