@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketgrain.plans.registry import table
 from ticketgrain.session import scratch_path
 
 # Smallest long: stands for a null id in joins and orders, so nulls come first.
@@ -17,7 +18,7 @@ SLICE_BYTES = 4 * 1024 * 1024
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def quoted(name: str) -> Column:
@@ -36,23 +37,29 @@ def order_id(name: str = "doc_id") -> Column:
     return F.coalesce(F.col(name), F.lit(NULL_ID))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds a few MB of text, or one long row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.column(text).nbytes))
+        rows = max(1, batch.num_rows * size // max(1, batch.column(text).nbytes))
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
 
 
 def map_texts(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text"
+    df: DataFrame,
+    fn: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str,
+    text: str = "text",
+    size: int = SLICE_BYTES,
 ) -> DataFrame:
     """``fn`` over slices of the Arrow batches of ``df``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
+        for part in slices(batches, text, size):
             yield fn(part)
 
     return df.mapInArrow(run, schema)

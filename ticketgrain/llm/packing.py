@@ -27,6 +27,7 @@ SEQUENCE_TOKENS = 2048
 END_ID = 1
 SENTENCE_PENALTY = 4  # tokens of padding that a cut at a sentence end is worth
 FORCED_PENALTY = 64  # a cut inside a sentence that fills a whole window
+SLICE_BYTES = 8 * 1024 * 1024  # text encoded at once: more words are met twice
 BLOCK_TOKENS = 1 << 18  # planned at once; documents longer than this are planned alone
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -194,7 +195,7 @@ def pack(
         encoder, ends = word_encoder(tokenizer_path), sentence_end_ids(tokenizer_path)
         packer, bucket = None, None
         pieces: list[tuple] = []
-        for part in slices(batches):
+        for part in slices(batches, size=SLICE_BYTES):
             texts = encoder.encode(part.column("text").cast(pa.binary()).to_pylist())
             for number, doc_id, ids in zip(part.column("bucket").to_pylist(), part.column("doc_id").to_pylist(), texts, strict=True):
                 if number != bucket:

@@ -14,11 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ticketgrain.llm.common import id_and_text, map_texts, order_id
+from ticketgrain.llm.common import id_and_text, map_texts, order_id, staged
 from ticketgrain.llm.word_bpe import word_encoder
 
 TOKEN_LIMIT = 2048
 CACHE_SCHEMA = "content_digest string, tokenizer_digest string, n_tokens long"
+# Small, since the join that brings the texts needs an executor's memory at the same time.
+MEMO_ENTRIES = 50_000
+SLICE_BYTES = 1024 * 1024
 _WHITE_SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -70,20 +73,24 @@ def count_tokens(
     texts = keyed.withColumn("key", order_id()).join(missing, ["content_digest", "key"], "left_semi")
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoded = word_encoder(tokenizer_path).encode(batch.column("text").cast(pa.binary()).to_pylist())
+        encoded = word_encoder(tokenizer_path, MEMO_ENTRIES).encode(batch.column("text").cast(pa.binary()).to_pylist())
         counts = pa.array([len(ids) // 4 for ids in encoded], pa.int64())
         return pa.record_batch([batch.column("content_digest"), counts], ["content_digest", "n_tokens"])
 
     (
-        map_texts(texts.select("content_digest", "text"), encode, "content_digest string, n_tokens long")
+        map_texts(
+            texts.select("content_digest", "text"), encode, "content_digest string, n_tokens long", size=SLICE_BYTES
+        )
         .groupBy("content_digest")
         .agg(F.max("n_tokens").alias("n_tokens"))
         .select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens")
         .write.mode("append")
         .parquet(cache_path)
     )
+    # a table of its own: the join may then split the rows of a content that many documents share
+    counts = staged(stored(), "token-counts")
     return (
         keyed.select("doc_id", "content_digest", F.octet_length("text").cast("long").alias("n_bytes"))
-        .join(stored(), "content_digest")
+        .join(counts, "content_digest")
         .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
     )

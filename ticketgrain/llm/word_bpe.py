@@ -25,8 +25,9 @@ JOINED = 2_000
 class _Memo(dict):
     """Keeps what is asked for again soon; most words come once and would only take room."""
 
-    def __init__(self):
+    def __init__(self, entries: int):
         super().__init__()
+        self.entries = entries
         self.young: set = set()
 
     def missing(self, wanted: set) -> list:
@@ -34,7 +35,7 @@ class _Memo(dict):
         new = wanted.difference(self)
         for key in self.young.difference(wanted):
             self.pop(key, None)
-        if len(self) > MEMO_ENTRIES:
+        if len(self) > self.entries:
             self.clear()
             new = wanted
         self.young = new
@@ -44,7 +45,7 @@ class _Memo(dict):
 class WordEncoder:
     """Little-endian unsigned 32-bit ids of UTF-8 texts."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = MEMO_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.whole = Tokenizer.from_file(path)
         # the same model for pieces that need no normalizing and no further splitting
@@ -57,7 +58,7 @@ class WordEncoder:
         vocab = self.whole.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.words, self.pieces = _Memo(), _Memo()
+        self.words, self.pieces = _Memo(entries), _Memo(entries)
 
     def encode(self, texts: Iterable[bytes]) -> list[bytes]:
         split = [text.split() for text in texts]  # bytes.split cuts at ASCII white space only
@@ -84,12 +85,12 @@ class WordEncoder:
 
     def _joined(self, tokenizer: Tokenizer, pieces: list[str]) -> None:
         """A piece's last token, and no other, ends a word."""
-        joined = [" ".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
-        for i, done in enumerate(tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+        for i in range(0, len(pieces), JOINED):
+            part = pieces[i : i + JOINED]
+            (done,) = tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
             tokens = np.array(done.ids, dtype="<u4")
             ends = [0, *(4 * (np.flatnonzero(self.last[tokens]) + 1)).tolist()]
             ids = tokens.tobytes()
-            part = pieces[i * JOINED : (i + 1) * JOINED]
             self.pieces.update(zip(part, [ids[a:b] for a, b in zip(ends, ends[1:])], strict=True))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -97,11 +98,11 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, entries: int = MEMO_ENTRIES) -> WordEncoder:
     """One encoder for each Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, entries) not in _ENCODERS:
+        _ENCODERS[path, entries] = WordEncoder(path, entries)
+    return _ENCODERS[path, entries]
