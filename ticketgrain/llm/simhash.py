@@ -27,20 +27,26 @@ BITS = 64
 SEED = 42
 
 
-def simhash(text: bytes, width: int = SHINGLE_WORDS) -> int:
-    """Majority bits of the shingles' XXH64, as a signed long; 0 without words."""
+def shingle_hashes(text: bytes, width: int = SHINGLE_WORDS) -> list[int]:
+    """XXH64 of every run of ``width`` words, or of all words if they are fewer; none without words."""
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = np.concatenate([[0], ends[:-width]])
-        stops = ends[width - 1 :] - 1
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate([[0], ends[:-width]])
+    stops = ends[width - 1 :] - 1
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+
+
+def simhash(text: bytes, width: int = SHINGLE_WORDS) -> int:
+    """Majority bits of the shingles' XXH64, as a signed long; 0 without words."""
+    hashes = shingle_hashes(text, width)
+    if not hashes:
+        return 0
     bits = np.unpackbits(np.array(hashes, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1)
     majority = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(majority).view(">i8")[0])
