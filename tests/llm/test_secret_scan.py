@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from tests.conftest import SF
 from tests.llm import odd
@@ -85,3 +87,23 @@ def test_redact_table(spark):
     assert texts[105] == TEXTS[5] and texts[11] == odd.LONG
     left = scan_secrets(clean, *ARGS).selectExpr("sum(n_assign + n_access + n_hex + n_random)").first()[0]
     assert left == 0
+
+
+def test_keys_among_words():
+    """Random letters, keys behind paths, short keys and keys with separators; words and identifiers are left."""
+    random.seed(8)
+    codec = byte_codec(*ARGS)
+    base62 = string.ascii_letters + string.digits
+    path = "/api/documents/archive/customers/international/reports/download/"
+    for alphabet, length, before in (
+        (string.ascii_lowercase, 24, ""), (string.ascii_uppercase, 24, ""), (base62, 24, path), (base62, 18, ""), (base62 + "+/", 40, path),
+    ):
+        found = 0
+        for _ in range(200):
+            key = "".join(random.choices(alphabet, k=length))
+            text = f"see {before}{key} there"
+            spans = random_spans(text, codec, [])
+            found += any(a <= 4 + len(before) + 4 and b >= len(text) - 10 for a, b, _ in spans)
+        assert found >= 190, (alphabet, length, before, found)
+    for clean in (path, path + "123e4567-e89b-12d3-a456-426614174000", "2024-01-15-10-20-30", "AUTO_BROADCAST_JOIN_THRESHOLD", "MAX_WORD_DISTANCE"):
+        assert random_spans(clean, codec, []) == [], clean

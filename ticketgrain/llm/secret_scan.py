@@ -1,7 +1,9 @@
 """Secret scans: fixed patterns and a token-efficiency test for random strings.
 
 Random strings need many tokens: a run of key characters with few characters per token under a
-byte-level vocabulary is reported unless it is a known kind of digest or identifier.
+byte-level vocabulary is reported unless it is a known kind of digest or identifier.  So is each
+part of a run between separators, and where neither tells, each stretch of tokens, so that words
+around a key do not hide it.  Names are excluded only where their tokens are about as long as words'.
 """
 
 from __future__ import annotations
@@ -25,16 +27,24 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _LONG_HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 MIN_ASSIGNED, MIN_ACCESS = 8, 16
-# Candidates of the method: whole runs of key characters of at least this length.
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# Candidates of the method: runs of key characters, and their parts, of at least this length.
+MIN_RUN = 16
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_SINGLE = re.compile(r"[A-Za-z0-9]{16,}")
 MAX_CHARS_PER_TOKEN = 2.2
+# Strings of words and numbers alone: the length from which the same ratio tells, and the ratio of several such parts.
+MIN_NAME = 20
+MAX_CHARS_PER_NAME_TOKEN = 1.8
+# Stretches of a longer run, with separators in them: characters and ratio; they hold capitals, small letters and digits.
+MIN_STRETCH = 20
+MAX_CHARS_PER_STRETCH_TOKEN = 1.8
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 # A text without any of these (a superset of all patterns, in the linear-time regex dialect) has no span.
 _MAY_HOLD = (
-    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]|AKIA[A-Z0-9]|[A-Za-z0-9+/_=-]{20}"""
+    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]|AKIA[A-Z0-9]|[A-Za-z0-9+/_=-]{16}"""
 )
 Span = tuple[int, int, str]
 
@@ -48,24 +58,83 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def is_known(run: str) -> bool:
+def is_known(run: str, piece_chars: int = 6) -> bool:
     """Digests of usual lengths, UUIDs, numbers, and names made of words and numbers."""
     if _HEX_ONLY.fullmatch(run) and len(run) in DIGEST_LENGTHS or _UUID.fullmatch(run):
         return True
     parts = [p for p in re.split(r"[+/_=-]+", run) if p]
     # fooBar, SNAKE_CASE and path/to/page2 are few, long parts; random strings change kind every few characters
     pieces = [p for part in parts for p in _PART.findall(part)]
-    return len(run) >= 6 * len(pieces)
+    return len(run) >= piece_chars * len(pieces)
+
+
+_IDENTIFIER = re.compile(rf"(?<![A-Za-z0-9]){_UUID.pattern}(?![A-Za-z0-9])")
+_NUMBERS = re.compile(r"[0-9+/_=-]+")
+
+
+def is_digest(run: str) -> bool:
+    return bool(_HEX_ONLY.fullmatch(run) and len(run) in DIGEST_LENGTHS or _UUID.fullmatch(run))
+
+
+def is_random(run: str, codec, most: float = MAX_CHARS_PER_TOKEN) -> bool:
+    """The token test of one string."""
+    if is_digest(run) or (_NUMBERS.fullmatch(run) and (len(run) < MIN_NAME or is_known(run))):
+        return False
+    if len(run) < MIN_NAME and is_known(run, 4):  # names this short have shorter words
+        return False
+    if is_known(run):
+        if not run.isalnum():  # its parts are tested too
+            most = min(most, MAX_CHARS_PER_NAME_TOKEN)
+    return len(run) < most * len(codec.encode(run))
+
+
+def random_stretches(run: str, codec) -> list[tuple[int, int]]:
+    """Places of the joined stretches of tokens that are too short for words."""
+    ends = [0]
+    for token in codec.encode(run):
+        ends.append(ends[-1] + len(codec.decode([token])))
+    avoid = [(m.start(), m.end()) for m in _IDENTIFIER.finditer(run)]
+    avoid += [(m.start(), m.end()) for m in _SINGLE.finditer(run) if is_digest(m[0])]
+    found: list[tuple[int, int]] = []
+    last = 0
+    for first, begin in enumerate(ends):
+        while last < len(ends) and ends[last] - begin < MIN_STRETCH:
+            last += 1
+        if last == len(ends):
+            break
+        end = ends[last]
+        piece = run[begin:end]
+        mixed = re.search("[A-Z]", piece) and re.search("[a-z]", piece) and re.search("[0-9]", piece)
+        if not mixed or end - begin >= MAX_CHARS_PER_STRETCH_TOKEN * (last - first) or is_known(piece):
+            continue
+        if any(a < end and begin < b for a, b in avoid):
+            continue
+        if found and begin <= found[-1][1]:
+            found[-1] = (found[-1][0], end)
+        else:
+            found.append((begin, end))
+    return found
 
 
 def random_spans(text: str, codec, taken: list[Span], most: float = MAX_CHARS_PER_TOKEN) -> list[Span]:
     found = []
     for m in _RUN.finditer(text):
         begin, end, run = m.start(), m.end(), m[0]
-        if is_known(run) or any(a < end and begin < b for a, b, _ in taken):
-            continue
-        if len(run) < most * len(codec.encode(run)):
+        free = not any(a < end and begin < b for a, b, _ in taken)
+        if free and is_random(run, codec, most):
             found.append((begin, end, "random"))
+            continue
+        if run.isalnum():
+            continue
+        parts = [(p.start(), p.end()) for p in _SINGLE.finditer(run) if is_random(p[0], codec, most)]
+        joined: list[tuple[int, int]] = []
+        for a, b in sorted(parts + ([] if is_digest(run) else random_stretches(run, codec))):
+            if joined and a <= joined[-1][1]:
+                joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
+            else:
+                joined.append((a, b))
+        spans = [(begin + a, begin + b) for a, b in joined]
+        found += [(a, b, "random") for a, b in spans if not any(c < b and a < d for c, d, _ in taken)]
     return found
 
 
