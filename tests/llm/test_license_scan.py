@@ -77,3 +77,17 @@ def test_whole_table(spark):
     found = queries.op7_license_scans(spark, SF).collect()
     check(odd.sf_texts(spark, SF), found)
     assert any(r.n_base for r in found)
+
+
+def test_wrapped_and_creative_commons(spark):
+    rows = [
+        (1, "# This is free and unencumbered software released into the public\n# domain."),
+        (2, "Licensed under CC BY-NC 4.0."),
+        (3, "licensed under a Creative Commons CC BY-NC-SA 4.0 International License"),
+        (4, "Licensed under CC BY 4.0"),
+    ]
+    found = scan_licenses(odd.table(spark, rows)).collect()
+    assert {r.doc_id: (r.labels, r.score) for r in found} == {
+        1: ("unlicense", 1.0), 2: ("cc-by,cc-by-nc-4.0", 1.0), 3: ("cc-by,cc-by-nc-sa-4.0", 1.0), 4: ("cc-by,cc-by-4.0", 1.0),
+    }
+    check(rows, found)

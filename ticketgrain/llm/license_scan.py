@@ -71,12 +71,14 @@ TEMPLATES = (
         " free software foundation either version {1} of the license or at your option any later version",
     ),
     ("cc-by-4.0", "licensed under [[a]] [[the]] [[creative commons]] cc by 4 0 [[international]] [[license]]"),
+    *(
+        (f"cc-by-{kind}-4.0", f"licensed under [[a]] [[the]] [[creative commons]] cc by {kind.replace('-', ' ')} 4 0 [[international]] [[license]]")
+        for kind in ("nc", "sa", "nd", "nc-sa", "nc-nd")
+    ),
     ("cc-by-4.0", "licensed under [[a]] [[the]] creative commons attribution 4 0 international license"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
-# Texts without any of these words hold no phrase and no template.
-_MAY_HOLD = r"(?i)licens|permission|redistribution|redistribute|public domain|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
 ANY = None
 
 
@@ -143,6 +145,29 @@ def compile_template(markup: str) -> Automaton:
     return automaton
 
 
+def mandatory_words(markup: str) -> list[str]:
+    """The words outside of optional regions."""
+    depth, found = 0, []
+    for token in re.findall(r"\[\[|\]\]|\{[0-9]+\}|[^\s\[\]{}]+", markup):
+        depth += (token == "[[") - (token == "]]")
+        if not depth and token[0] not in "[]{":
+            found.append(token)
+    return found
+
+
+# A text holds nothing without one mandatory word ("licens..." or the longest) of some template or phrase.
+# Wording of short words alone ("cc by") must stand whole, with any separators.
+_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_MAY_HOLD = "(?i)" + "|".join(
+    sorted(
+        {
+            rarest if len(rarest := max(words, key=lambda w: (w.startswith("licens"), len(w)))) > 4 else _GAP.join(words)
+            for words in [p.split() for p in PHRASES] + [mandatory_words(markup) for _, markup in TEMPLATES]
+        }
+    )
+)
+
+
 class Matcher:
     """All templates at once; the state sets met so far are kept."""
 
