@@ -1,9 +1,9 @@
-"""SimHash near-duplicates by multi-index hashing.
+"""SimHash near-duplicates by one table of whole keys.
 
-A fingerprint is cut into segments.  Within each segment the ball of one flipped bit is
-enumerated; the fingerprint with that segment exchanged is a table key, and so is the
-fingerprint itself.  Both sides of a pair do this, so two fingerprints that differ in at most
-two bits meet at a key half way, whichever segments the bits lie in.  A key holds at most 65
+A fingerprint and all its one-bit flips are table keys (enumerated segment by segment; the
+segments make no difference to the keys).  This is exact for ``MAX_BITS`` up to 2 and would lose
+links beyond.  Both sides of a pair do this, so two fingerprints that differ in at most two bits
+meet at a key half way, whichever segments the bits lie in.  A key holds at most 65
 fingerprints, however many near copies there are, and all of them link to its smallest one:
 no pairs within a group are written.  Complete distances are verified before linking.
 
