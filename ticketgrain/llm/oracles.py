@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ticketgrain.llm import line_dedup, quality_rules
+from ticketgrain.llm import lexical_search, line_dedup, quality_rules
 
 _BLANK = r"[\x20\x09-\x0D]+"
 
@@ -86,4 +86,28 @@ SELECT doc_id, count(*) AS n_lines, count(d.p) AS n_removed_lines, coalesce(sum(
 FROM (SELECT doc_id, p, line, len(ws) AS n FROM l) l LEFT JOIN between_gone d USING (doc_id, p) GROUP BY doc_id"""
 
 
-ORACLES = {"op6_quality_rules": quality_sql(), "op10_line_dedup": line_dedup_sql()}
+def _lower(expr: str) -> str:
+    return f"translate(coalesce({expr}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def search_sql() -> str:
+    terms = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_lower("text"))
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {terms} AS ws FROM documents),
+q AS MATERIALIZED (
+  SELECT qid, item_id, term, count(*) AS k
+  FROM (SELECT qid, item_id, unnest(ws) AS term FROM (SELECT row_number() OVER () AS qid, item_id, {terms} AS ws FROM benchmark))
+  GROUP BY ALL),
+g AS (SELECT count(*) FILTER (len(ws) > 0) AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d),
+p AS MATERIALIZED (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(ws) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, g GROUP BY term, n_docs),
+m AS (SELECT rid, doc_id, 75 + (25 * len(ws) * n_docs) // n_terms AS m FROM d, g WHERE len(ws) > 0),
+s AS (
+  SELECT qid, item_id, rid, doc_id, sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM p JOIN w USING (term) JOIN m USING (rid) JOIN q USING (term) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= {lexical_search.TOP}"""
+
+
+ORACLES = {"op6_quality_rules": quality_sql(), "op10_line_dedup": line_dedup_sql(), "op11_lexical_search": search_sql()}

@@ -8,11 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ticketgrain.llm import (
-    byte_bpe, fingerprints, license_scan, line_dedup, lm_scoring, packing, quality_rules, secret_scan, simhash, token_counts,
+    byte_bpe, fingerprints, lexical_search, license_scan, line_dedup, lm_scoring, packing, quality_rules, secret_scan, simhash, token_counts,
 )
 from ticketgrain.llm.common import documents
 from ticketgrain.llm.oracles import ORACLES as ORACLES
-from ticketgrain.plans.registry import rounded
+from ticketgrain.plans.registry import rounded, table
 from ticketgrain.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,10 +63,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_fingerprints, op2_secret_scans, op3_token_counts, op4_lm_scores, op5_byte_bpe, op6_quality_rules,
-        op7_license_scans, op8_packing, op9_simhash, op10_line_dedup,
+        op7_license_scans, op8_packing, op9_simhash, op10_line_dedup, op11_lexical_search,
     )
 }
