@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from ticketgrain.llm.common import id_and_text, map_texts, order_id, staged
 
 TOP = 20
-BLOCK_DOCUMENTS = 4096
+# Documents of a block, fewer where so many terms are asked for that their bitmaps would take more bytes.
+BLOCK_DOCUMENTS, BITMAP_BYTES = 4096, 32 * 1024 * 1024
 # Items of one pass: at most so many, and so many bytes of text (or one item).
 BLOCK_ITEMS, BLOCK_BYTES = 256, 2 * 1024 * 1024
 # First documents evaluated of a block; each further step takes twice as many.
@@ -146,7 +147,7 @@ def search_block(block: Block, item: tuple[np.ndarray, np.ndarray], by_term: np.
 def ranked(posts: DataFrame, items: list[list[tuple[int, int]]], weights: list[int], n_docs: int, n_terms: int, top: int) -> DataFrame:
     """place (of the item in ``items``), key, tie, score: at most ``top`` rows an item and task."""
     weight = np.array(weights, np.int64)
-    size = BLOCK_DOCUMENTS
+    size = max(1, min(BLOCK_DOCUMENTS, BITMAP_BYTES // max(1, len(weights))))
     asked = [tuple(np.array(column, np.int64) for column in zip(*terms, strict=True)) if terms else None for terms in items]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ticketgrain.llm import lexical_search, line_dedup, quality_rules
+from ticketgrain.llm import importance_resampling, lexical_search, line_dedup, quality_rules
 
 _BLANK = r"[\x20\x09-\x0D]+"
 
@@ -110,4 +110,43 @@ SELECT item_id, (row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id
 FROM s WHERE score > 0 QUALIFY rank <= {lexical_search.TOP}"""
 
 
-ORACLES = {"op6_quality_rules": quality_sql(), "op10_line_dedup": line_dedup_sql(), "op11_lexical_search": search_sql()}
+def resampling_sql() -> str:
+    """CRC-32 by its table, over the bytes of each distinct word."""
+    r = importance_resampling
+    words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_lower("text"))
+    table = (
+        "(SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) "
+        "ORDER BY i) FROM range(256) AS t(i))"
+    )
+    data = "list_transform(range(len(hex(encode(word)))::BIGINT // 2), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)"
+    crc = f"xor(list_reduce({data}, lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)"
+    return f"""
+WITH tab AS MATERIALIZED (SELECT {table} AS tab),
+d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {words} AS ws FROM documents),
+dw AS MATERIALIZED (SELECT rid, word, count(*) AS n FROM (SELECT rid, unnest(ws) AS word FROM d) GROUP BY ALL),
+bw AS MATERIALIZED (SELECT word, count(*) AS n FROM (SELECT unnest({words}) AS word FROM benchmark) GROUP BY ALL),
+b AS MATERIALIZED (
+  SELECT word, {crc} % {r.BUCKETS} AS bucket FROM (SELECT DISTINCT word FROM (SELECT word FROM dw UNION ALL SELECT word FROM bw)), tab),
+s AS (SELECT bucket, sum(n)::BIGINT AS s FROM dw JOIN b USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::BIGINT AS t FROM bw JOIN b USING (word) GROUP BY bucket),
+sums AS (SELECT coalesce((SELECT sum(s) FROM s), 0)::BIGINT AS s_all, coalesce((SELECT sum(t) FROM t), 0)::BIGINT AS t_all),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (s_all + {r.BUCKETS})
+    / ((coalesce(s, 0) + 1) * (t_all + {r.BUCKETS}))))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket), sums),
+w AS (SELECT rid, sum(n * gain)::BIGINT AS weight FROM dw JOIN b USING (word) JOIN gain USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT rid, doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('{r.SEED}:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN w USING (rid)),
+places AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored
+  WHERE n_features >= {r.MIN_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {r.DRAW_PERCENT} * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN places USING (rid)"""
+
+
+ORACLES = {
+    "op6_quality_rules": quality_sql(), "op10_line_dedup": line_dedup_sql(), "op11_lexical_search": search_sql(),
+    "op12_importance_resampling": resampling_sql(),
+}
