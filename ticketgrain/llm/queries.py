@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ticketgrain.llm import (
-    byte_bpe, fingerprints, importance_resampling, lexical_search, license_scan, line_dedup, lm_scoring, packing, quality_rules, secret_scan, simhash, token_counts,
+    byte_bpe, fingerprints, html_extraction, importance_resampling, lexical_search, license_scan, line_dedup, lm_scoring, packing, quality_rules, secret_scan, simhash, token_counts,
 )
 from ticketgrain.llm.common import documents
 from ticketgrain.llm.oracles import ORACLES as ORACLES
@@ -71,11 +71,15 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance_resampling.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         op1_fingerprints, op2_secret_scans, op3_token_counts, op4_lm_scores, op5_byte_bpe, op6_quality_rules,
         op7_license_scans, op8_packing, op9_simhash, op10_line_dedup, op11_lexical_search,
-        op12_importance_resampling,
+        op12_importance_resampling, op13_html_extraction,
     )
 }
