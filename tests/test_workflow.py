@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from ticketgrain import schemas
 from ticketgrain.operators import workflow as wf
+from ticketgrain.streaming import counters, folders, review
 from ticketgrain.streaming import intake as streams
-from ticketgrain.streaming import review
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -180,3 +180,125 @@ def test_streamed_review_equals_batch(spark, tickets, tmp_path, batch_size):
         (4, "approved", None, "sent text", None),
         (99, "approved", None, None, None),
     ]
+
+
+def progress_rows(query):
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
+def test_review_states_go_after_their_time_and_batches_are_folded(spark, tmp_path):
+    """Closed tickets leave the state store, not the table; a late action on one changes nothing."""
+    source, base = str(tmp_path / "in"), str(tmp_path / "out")
+    day = 24 * 60
+    acts = [(i, i, at(i), "approve" if i % 2 else "modify", f"text {i}", None) for i in range(1, 9)]
+    acts += [(100 + k, 100 + k, at(k * day), "modify", f"day {k}", None) for k in range(1, 7)]
+    acts += [(1, 200, at(6 * day), "reject", None, None), (2, 201, at(6 * day + 1), "reject", None, None)]
+    write_batches(spark, acts[:8], schemas.ACTIONS, source, 8)
+    write_batches(spark, acts[8:], schemas.ACTIONS, source, 1)
+    stream = spark.readStream.schema(schemas.ACTIONS).option("maxFilesPerTrigger", 1).parquet(source)
+    query = review.start_review(stream, f"{base}/t", f"{base}/c", late="1 hour", retention="2 days", compact_every=3)
+    query.awaitTermination()
+    held = progress_rows(query)
+    # 8 tickets, then one more a day; the four closed ones are removed, ticket 1 comes again, ticket 2 is closed
+    assert min(b - a for a, b in zip(held, held[1:])) <= -3 and max(held) < 14
+    wanted = [(i, "approved" if i % 2 else "pending_review", None if i % 2 else f"text {i}") for i in range(1, 9)]
+    wanted[1] = (2, "rejected", "text 2")
+    wanted += [(100 + k, "pending_review", f"day {k}") for k in range(1, 7)]
+    assert rows(review.read_reviews(spark, f"{base}/t"), "ticket_id", "status", "edited_response") == sorted(wanted, key=repr)
+    parts = {part: folders.numbers(spark, f"{base}/t/{part}") for part in ("new", "open", "closed")}
+    assert len(parts["new"]) < 9 and 1 <= len(parts["open"]) <= 2 and len(parts["closed"]) >= 2
+    review.compact_reviews(spark, f"{base}/t")
+    review.compact_reviews(spark, f"{base}/t")
+    assert rows(review.read_reviews(spark, f"{base}/t"), "ticket_id", "status", "edited_response") == sorted(wanted, key=repr)
+
+
+SUBMITTED = [(i, at(i), {"priority": "high" if i % 3 == 0 else "low"}) for i in range(1, 8)]
+CLOSING = [
+    (1, 1, at(9), "approve", None, None), (2, 2, at(9), "reject", None, None), (3, 3, at(9), "modify", "x", None),
+    (1, 4, at(10), "reject", None, None), (2, 5, at(11), "approve", None, None), (6, 6, at(12), "approve", None, None),
+    (6, 7, at(12), "reject", None, None), (99, 8, at(12), "approve", None, None),
+]
+_TICKET = "id long, created_at timestamp, classification struct<priority: string>"
+
+
+@pytest.mark.parametrize("size", [3, 100])
+@pytest.mark.parametrize("tickets_first", [True, False])
+def test_live_counters(spark, tmp_path, size, tickets_first):
+    """Whatever comes first: each closing takes the ticket from pending, once, and unknown tickets count nothing."""
+    left, right, base = str(tmp_path / "t"), str(tmp_path / "a"), str(tmp_path / "out")
+    again = [*SUBMITTED, SUBMITTED[0], SUBMITTED[4]]
+    for path, schema in ((left, _TICKET), (right, schemas.ACTIONS)):
+        spark.createDataFrame([], schema).write.parquet(path)
+    tickets = spark.readStream.schema(_TICKET).option("maxFilesPerTrigger", 1).parquet(left)
+    actions = spark.readStream.schema(schemas.ACTIONS).option("maxFilesPerTrigger", 1).parquet(right)
+
+    def run():
+        counters.start_counters(tickets, actions, f"{base}/t", f"{base}/c", late="1 hour").awaitTermination()
+        return tuple(counters.read_counters(spark, f"{base}/t").first())
+
+    steps = [lambda: write_batches(spark, again, _TICKET, left, size), lambda: write_batches(spark, CLOSING, schemas.ACTIONS, right, size)]
+    seen = []
+    for step in steps if tickets_first else steps[::-1]:
+        step()
+        seen.append(run())
+    assert seen == [(7, 0, 7, 2) if tickets_first else (0, 0, 0, 0), (7, 2, 4, 2)]
+    assert len(folders.numbers(spark, f"{base}/t")) <= 2
+
+
+def test_live_counters_forget_closed_tickets(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = f"{_TICKET}, action string, ticket_id long, action_id long, ts timestamp"
+    day = 24 * 60
+    data = [(k, at(k * day), {"priority": "low"}, "approve", k, k, at(k * day + 1)) for k in range(12)]
+    write_batches(spark, data, schema, source, 1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = counters.start_counters(stream, stream, f"{base}/t", f"{base}/c", late="1 day", retention="2 days")
+    query.awaitTermination()
+    assert tuple(counters.read_counters(spark, f"{base}/t").first()) == (12, 12, 0, 0)
+    # a state and a timer for each ticket of the last days, not of all twelve
+    assert max(progress_rows(query)) <= 2 * 7
+    assert review.milliseconds(spark, "90 minutes") == 90 * 60 * 1000
+
+
+def test_days_close_once_and_late_rows_are_counted_apart(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "out")
+    day = 24 * 60
+    arriving = [at(0), at(10), at(day), at(3 * day), at(20), at(day + 5), at(3 * day + 7), None, at(9 * day), at(2 * day)]
+    data = [(i, "a", "bug", ts) for i, ts in enumerate(arriving)]
+    write_batches(spark, data, schemas.SUBMISSIONS, source, 1)
+    stream = spark.readStream.schema(schemas.SUBMISSIONS).option("maxFilesPerTrigger", 1).parquet(source)
+    query = streams.start_daily_dashboard(wf.intake(stream), f"{base}/t", f"{base}/c", late="1 day")
+    query.awaitTermination()
+
+    def counts(part):
+        found = streams.read_days(spark, f"{base}/t", part).filter("dimension = 'type'")
+        return {r.day and r.day.day - at(0).day: r.n for r in found.collect()}
+
+    # at day 3 the days 0 and 1 are closed: two late rows; at day 9 day 3 closes with both its rows
+    assert counts("closed") == {0: 2, 1: 1, 3: 2}
+    assert counts("late") == {0: 1, 1: 1, 2: 1, None: 1}
+    closings = [len(spark.read.parquet(f"{base}/t/closed/batch={n}").collect()) for n in folders.numbers(spark, f"{base}/t/closed")]
+    assert sum(closings) == 2 * 3 and len(folders.numbers(spark, f"{base}/t/open")) <= 2
+    # a batch that is run again after a failure changes nothing
+    before = rows(streams.read_days(spark, f"{base}/t"))
+    write_batches(spark, [(99, "b", "bug", at(12 * day))], schemas.SUBMISSIONS, source, 1)
+    streams.start_daily_dashboard(wf.intake(stream), f"{base}/t", f"{base}/c", late="1 day").awaitTermination()
+    after = rows(streams.read_days(spark, f"{base}/t"))
+    assert set(before) < set(after) and counts("closed") == {0: 2, 1: 1, 3: 2, 9: 1}
+
+
+def test_content_keys(spark, tmp_path):
+    source, base = str(tmp_path / "in"), str(tmp_path / "out")
+    data = [(1, "a", "bc", at(0)), (2, "ab", "c", at(0)), (3, "a", "bc", at(0)), (4, "a", "bc", at(1)), (5, "1:a", "b", at(1))]
+    keyed = streams.with_ticket_key(spark.createDataFrame([*data, (6, None, "", None), (7, "", None, None)], schemas.SUBMISSIONS))
+    keys = {r.key: r.ticket_key for r in keyed.collect()}
+    assert keys[1] == keys[3] and len(set(keys.values())) == 6 and None not in keys.values()
+    write_batches(spark, data, schemas.SUBMISSIONS, source, 1)
+    stream = spark.readStream.schema(schemas.SUBMISSIONS).option("maxFilesPerTrigger", 1).parquet(source)
+    streams.start_unique_intake(stream, f"{base}/t", f"{base}/c", late="1 hour").awaitTermination()
+    found = spark.read.parquet(f"{base}/t")
+    assert sorted(r.key for r in found.collect()) == [1, 2, 4, 5]
+    # a repeat after a restart is known from the state
+    write_batches(spark, [(8, "ab", "c", at(0)), (9, "new", "x", at(2))], schemas.SUBMISSIONS, source, 2)
+    streams.start_unique_intake(stream, f"{base}/t", f"{base}/c", late="1 hour").awaitTermination()
+    assert sorted(r.key for r in spark.read.parquet(f"{base}/t").collect()) == [1, 2, 4, 5, 9]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from contextlib import contextmanager
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizer
@@ -20,8 +21,8 @@ from ticketgrain.plans import mappings as m
 from ticketgrain.plans.registry import query, rounded, sql_prompt, sql_text, table
 from ticketgrain.session import scratch_path
 from ticketgrain.sources import readers, writers
+from ticketgrain.streaming import counters, review
 from ticketgrain.streaming import intake as streams
-from ticketgrain.streaming import review
 
 _INTAKE = f"({m.INTAKE_SQL})"
 _REPLY = "CASE priority " + " ".join(
@@ -181,30 +182,110 @@ def live_dashboard(spark, sf):
     return streams.read_dashboard(spark, f"{base}/table")
 
 
+@contextmanager
+def _rocksdb(spark):
+    """The state store that ``transformWithState`` needs, for the time of one stream."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _event_batches(spark, sf):
+    """The events as a stream of several micro-batches in order of time: a third of the days after another.
+
+    Within a third a user's events are in one file, so that the order of files changes no state.
+    """
+    events = table(spark, sf, "events")
+    path = scratch_path(spark, "event-batches")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    for part in range(3):
+        third = F.floor(F.datediff("ts", F.lit(low)) * 3 / (F.datediff(F.lit(high), F.lit(low)) + 1))
+        events.filter(third == part).repartition(2, "user_id").write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+# Longer than a third of the days, so that no file of a third is late.
+_LATE = "15 days"
+
+
 @query(
     "daily_dashboard",
     f"""SELECT strftime(created_at::DATE, '%Y-%m-%d') AS day, dimension, value, count(*) AS n FROM
     (SELECT created_at, 'priority' AS dimension, priority AS value FROM {_INTAKE}
-     UNION ALL SELECT created_at, 'type', type FROM {_INTAKE}) GROUP BY ALL""",
+     UNION ALL SELECT created_at, 'type', type FROM {_INTAKE})
+    WHERE created_at::DATE + INTERVAL 2 DAY <= (SELECT max(created_at) FROM {_INTAKE}) GROUP BY ALL""",
 )
 def daily_dashboard(spark, sf):
+    """The days that are closed when the stream ends: a day and more older than the last ticket."""
     base = scratch_path(spark, "daily")
     tickets = wf.intake(_event_stream(spark, sf), **m.event_rules())
-    streams.start_dashboard(tickets, f"{base}/table", f"{base}/checkpoint", daily=True).awaitTermination()
-    days = streams.read_dashboard(spark, f"{base}/table")
-    return days.select(F.date_format("day.start", "yyyy-MM-dd").alias("day"), "dimension", "value", "n")
+    streams.start_daily_dashboard(tickets, f"{base}/table", f"{base}/checkpoint", late="1 day").awaitTermination()
+    days = streams.read_days(spark, f"{base}/table")
+    return days.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "dimension", "value", "n")
+
+
+@query(
+    "late_tickets",
+    f"""WITH t AS MATERIALIZED (SELECT * FROM {_INTAKE}), d AS (
+      SELECT *, floor((created_at::DATE - min(created_at::DATE) OVER ()) * 3 / (max(created_at::DATE) OVER ()
+        - min(created_at::DATE) OVER () + 1)) AS part FROM t),
+    x AS (SELECT *, key % 5 = 0 AND part = 0 AS held_back FROM d),
+    until AS (SELECT max(created_at) - INTERVAL 1 DAY AS until FROM x WHERE NOT held_back)
+    SELECT strftime(created_at::DATE, '%Y-%m-%d') AS day, dimension, value, count(*) AS n FROM (
+      SELECT created_at, 'priority' AS dimension, priority AS value FROM x WHERE held_back
+      UNION ALL SELECT created_at, 'type', type FROM x WHERE held_back), until
+    WHERE created_at::DATE + INTERVAL 1 DAY <= until GROUP BY ALL""",
+)
+def late_tickets(spark, sf):
+    """Every fifth ticket of the first third of the days comes after all others: their days are closed."""
+    events = table(spark, sf, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    third = F.floor(F.datediff("ts", F.lit(low)) * 3 / (F.datediff(F.lit(high), F.lit(low)) + 1))
+    held_back = (F.col("event_id") % 5 == 0) & (third == 0)
+    base = scratch_path(spark, "late")
+    for part in (~held_back, held_back):
+        events.filter(part).coalesce(1).write.mode("append").parquet(f"{base}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
+    tickets = wf.intake(m.submissions_of(stream), **m.event_rules())
+    streams.start_daily_dashboard(tickets, f"{base}/table", f"{base}/checkpoint", late="1 day").awaitTermination()
+    late = streams.read_days(spark, f"{base}/table", "late")
+    return late.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "dimension", "value", "n")
+
+
+@query(
+    "streamed_ticket_keys",
+    f"""SELECT sha256(length(subject) || ':' || subject || length(body) || ':' || body || length(epoch_us(created_at)::VARCHAR)
+      || ':' || epoch_us(created_at)) AS ticket_key, subject, body, priority, min(key) % 1 AS repeats_left
+    FROM {_INTAKE} GROUP BY subject, body, priority, created_at""",
+)
+def streamed_ticket_keys(spark, sf):
+    """Every third ticket arrives twice, every sixth three times; each has one row under its content key."""
+    base = scratch_path(spark, "ticket-keys")
+    arriving = _event_stream(spark, sf)
+    again = arriving.unionByName(arriving.filter("key % 3 = 0")).unionByName(arriving.filter("key % 6 = 0"))
+    streams.start_unique_intake(again, f"{base}/tickets", f"{base}/checkpoint", **m.event_rules()).awaitTermination()
+    tickets = spark.read.parquet(f"{base}/tickets")
+    first = tickets.groupBy("ticket_key").agg(F.count(F.lit(1)).alias("copies"))
+    joined = tickets.join(first, "ticket_key")
+    return joined.select("ticket_key", "subject", "body", "classification.priority", (F.col("copies") - 1).alias("repeats_left"))
 
 
 @query("streamed_review", _STATE_SQL + "SELECT id, suggested_response, status, final_response, reviewed_by FROM state")
 def streamed_review(spark, sf):
-    """The review state from a stream of actions; equals the batch query."""
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
+    """The review state from a stream of several batches, states removed after a time; equals the batch query."""
     base = scratch_path(spark, "review-state")
-    actions = m.actions_of(_raw_event_stream(spark, sf))
-    review.start_review(actions, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    actions = m.actions_of(_event_batches(spark, sf))
+    with _rocksdb(spark):
+        review.start_review(
+            actions, f"{base}/table", f"{base}/checkpoint", late=_LATE, retention="2 days", compact_every=2
+        ).awaitTermination()
     states = review.read_reviews(spark, f"{base}/table").withColumnRenamed("ticket_id", "id")
     tickets = m.review_tickets(spark, sf).select("id", "suggested_response").join(states, "id", "left")
     approved = F.col("status") == V.STATUS_APPROVED
@@ -218,6 +299,28 @@ def streamed_review(spark, sf):
     )
 
 
+@query(
+    "live_counters",
+    _STATE_SQL
+    + """SELECT count(*) AS total, count(*) FILTER (status = 'approved') AS approved,
+    count(*) FILTER (status = 'pending_review') AS pending, count(*) FILTER (id % 3 = 0) AS high_priority FROM state""",
+)
+def live_counters(spark, sf):
+    """The counters from streams of tickets and actions over several batches; equals ``review_counters``."""
+    base = scratch_path(spark, "counters")
+    events = _event_batches(spark, sf)
+    ticket = F.col("user_id") * 1000 + F.dayofyear("ts")
+    priority = F.when(ticket % 3 == 0, "high").otherwise("low")
+    tickets = events.select(
+        ticket.alias("id"), F.col("ts").cast("timestamp").alias("created_at"), F.struct(priority.alias("priority")).alias("classification")
+    )
+    with _rocksdb(spark):
+        counters.start_counters(
+            tickets, m.actions_of(events), f"{base}/table", f"{base}/checkpoint", late=_LATE, retention="20 days"
+        ).awaitTermination()
+    return counters.read_counters(spark, f"{base}/table")
+
+
 # --- connectors ---------------------------------------------------------------
 @query("csv_roundtrip", "SELECT doc_id, text, lang, source FROM documents")
 def csv_roundtrip(spark, sf):
