@@ -97,3 +97,23 @@ def test_label_index_is_alphabetical_and_fixed(spark):
     # a split without one class keeps the ids of the training split
     other = spark.createDataFrame([("medium",), ("high",)], "priority string")
     assert rows(features.encode_labels(other, "priority", index), "priority", "label_id") == [("high", 0), ("medium", 2)]
+
+
+def test_joined_encoding_equals_the_lookup(spark):
+    """The way for vocabularies of any size gives the ids of the small one; odd rows keep their rows."""
+    texts = [(1, "a b a c"), (1, "a b a c"), (None, "b zz"), (None, None), (2, ""), (3, " ".join(f"w{i % 50}" for i in range(400)))]
+    docs = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    vocabulary = features.vocabulary_all(docs.filter("text not like '%zz%'"), "id")
+    for length in (3, 128, 256):
+        found = features.encode_joined(docs, "id", vocabulary, max_len=length)
+        wanted = features.encode_padded(docs, "id", vocabulary, max_len=length)
+        assert rows(found) == rows(wanted) and found.schema["ids"].dataType == wanted.schema["ids"].dataType
+    assert features.encode_joined(docs.limit(0), "id", vocabulary).count() == 0
+
+
+def test_encoding_takes_a_vocabulary_beyond_the_lookup(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"common t{i} t{i + 1}") for i in range(40)], "id long, text string")
+    vocabulary = features.vocabulary_all(docs, "id")
+    wanted = rows(features.encode_padded(docs, "id", vocabulary, max_len=5))
+    monkeypatch.setattr(features.V, "VOCABULARY_SIZE", 10)
+    assert rows(features.encode_padded(docs, "id", vocabulary, max_len=5)) == wanted

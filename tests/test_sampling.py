@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +60,29 @@ def test_head_and_sample(spark):
     drawn = {r[0] for r in sampling.random_sample(data, 10, "id").collect()}
     assert len(drawn) == 10 and drawn == {r[0] for r in sampling.random_sample(data.repartition(5), 10, "id").collect()}
     assert sampling.random_sample(data, 500, "id").count() == 100
+
+
+def test_selection_equals_an_ordered_limit(spark):
+    rng = random.Random(8)
+    keys = [rng.choice([-(2**63), 2**63 - 1, rng.randrange(-5, 5), rng.randrange(2**62)]) for _ in range(3000)] + [None] * 40 + [7] * 500
+    data = spark.createDataFrame([(k, f"row {i}") for i, k in enumerate(keys)], "id long, text string").repartition(5)
+    ordered = sorted(keys, key=lambda k: (k is not None, k or 0))
+    for n in (0, 1, 39, 41, 600, 1500, 3539, 3540, 9000):
+        found = [r.id for r in sampling.head(data, n, "id").collect()]
+        assert sorted(found, key=lambda k: (k is not None, k or 0)) == ordered[:n]
+    names = data.select(F.col("id").cast("string").alias("id"), "text")
+    spelled = sorted([None if k is None else str(k) for k in keys], key=lambda k: (k is not None, k or ""))
+    for n in (0, 5, 40, 41, 900, 9000):
+        found = [r.id for r in sampling.head(names, n, "id").collect()]
+        assert sorted(found, key=lambda k: (k is not None, k or "")) == spelled[:n]
+    assert sampling.random_sample(data, 1000, "id").count() == 1000
+
+
+def test_selection_moves_no_texts(spark):
+    """Rows are filtered in place: only keys are sorted, and histograms refine a crowded cut."""
+    data = spark.range(50_000).select(F.col("id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    for picked in (sampling.head(data, 20_000, "id"), sampling.random_sample(data, 20_000, "id")):
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in plan and "Exchange" not in plan
+        assert picked.count() == 20_000
+    assert sampling.head(data, 20_000, "id").agg(F.max("id")).first()[0] == 19_999

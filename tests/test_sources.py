@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from ticketgrain import schemas
 from ticketgrain.operators import generation as gen
+from ticketgrain.operators.generation import pair_by_position
 from ticketgrain.operators import tickets as tk
 from ticketgrain.sources import readers, writers
+from ticketgrain.sources.positions import with_positions
 
 EDGE = [
     (1, 'He said "no", twice\nand\r\nleft', "high"),
@@ -133,3 +135,52 @@ def test_predictions_keep_reference(spark, tmp_path):
     back = readers.read_json_records(spark, str(tmp_path / "p"), schemas.PREDICTIONS)
     assert rows(back) == [(1, "i", "x", "out", "ref")]
     writers.write_review(back.select(F.col("sample_id").alias("id"), "input"), str(tmp_path / "r"))
+
+
+def test_positions_over_files_and_splits(spark, tmp_path):
+    """Places follow file names and lines, whatever task reads which split of which file."""
+    path = tmp_path / "lines"
+    path.mkdir()
+    wanted = []
+    for name, n in (("part-2", 700), ("part-0", 1), ("part-10", 300), ("part-1", 0)):
+        (path / name).write_text("".join(f'{{"a": "{name}-{i}"}}\n' for i in range(n)))
+    for name in sorted(p.name for p in path.iterdir()):
+        wanted += [row.split('"')[3] for row in (path / name).read_text().splitlines()]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1k", "3k", old):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = with_positions(spark.read.schema("a string").json(str(path)))
+            assert [r.a for r in found.orderBy("position").collect()] == wanted
+            assert sorted(r.position for r in found.collect()) == list(range(1001))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert with_positions(spark.read.schema("a string").json(str(path / "part-1"))).count() == 0
+
+
+def test_json_arrays(spark, tmp_path):
+    """Pretty-printed and written arrays, an empty one among them; places go on over the files."""
+    (tmp_path / "in").mkdir()
+    data = [{"a": "x\n[1]", "b": 1}, {"a": None, "b": 2}, {"b": 3}, {"a": "é, ]", "b": None}]
+    (tmp_path / "in" / "1.json").write_text(json.dumps(data[:3], indent=2))
+    (tmp_path / "in" / "2.json").write_text("[]")
+    (tmp_path / "in" / "3.json").write_text(json.dumps(data[3:]))
+    read = lambda p: [tuple(r) for r in readers.read_json_array(spark, str(p), "a string, b long").orderBy("sample_id").collect()]
+    wanted = [(i, d.get("a"), d["b"]) for i, d in enumerate(data)]
+    assert read(tmp_path / "in") == wanted
+    rows_of = spark.createDataFrame([(d.get("a"), d["b"]) for d in data], "a string, b long")
+    writers.write_json_arrays(rows_of.coalesce(1), str(tmp_path / "one"))
+    writers.write_json_arrays(rows_of.repartition(7), str(tmp_path / "many"))
+    assert read(tmp_path / "one") == wanted and sorted(read(tmp_path / "many"))[-1][0] == 3
+    for file in (tmp_path / "many").glob("part-*"):
+        assert all(set(r) == {"a", "b"} for r in json.loads(file.read_text()))
+
+
+def test_pairs_by_position(spark, tmp_path):
+    """As a zip of two lists: the shorter side decides."""
+    for name, n in (("p", 25), ("r", 40)):
+        (tmp_path / name).mkdir()
+        for file in range(3):
+            (tmp_path / name / f"part-{file}").write_text("".join(f'{{"{name}": "{name}{i}"}}\n' for i in range(n) if i * 3 // n == file))
+    sides = [with_positions(spark.read.schema(f"{name} string").json(str(tmp_path / name)), "sample_id") for name in ("p", "r")]
+    assert [(r.p, r.r) for r in pair_by_position(*sides).orderBy("sample_id").collect()] == [(f"p{i}", f"r{i}") for i in range(25)]

@@ -80,12 +80,13 @@ def encode_padded(
 ) -> DataFrame:
     """First ``max_len`` tokens as ids, unknown tokens 1, padded with 0 on the right.
 
-    The vocabulary (``V.VOCABULARY_SIZE`` rows at most) is sent to the tasks, which look the
-    words up inside the row: nothing is shuffled.
+    A vocabulary of up to ``V.VOCABULARY_SIZE`` tokens is sent to the tasks, which look the words up
+    inside the row: nothing is shuffled.  A larger one stays a table that the tokens are joined with
+    (``encode_joined``); both give the same ids.
     """
     rows = vocabulary.select("token", "id").limit(V.VOCABULARY_SIZE + 1).toArrow()
     if rows.num_rows > V.VOCABULARY_SIZE:
-        raise ValueError(f"an encoding vocabulary has at most {V.VOCABULARY_SIZE} tokens")
+        return encode_joined(df, row_id, vocabulary, text, max_len)
     ids = dict(zip(rows.column("token").to_pylist(), rows.column("id").to_pylist(), strict=True))
     kept = df.select(row_id, F.slice(tx.words(F.col(text)), 1, max_len).alias("_tokens"))
 
@@ -100,6 +101,39 @@ def encode_padded(
     return kept.mapInArrow(encode, f"`{row_id}` {df.schema[row_id].dataType.simpleString()}, ids array<int>")
 
 
+def encode_joined(
+    df: DataFrame, row_id: str, vocabulary: DataFrame, text: str = "text", max_len: int = V.SHORT_SEQUENCE
+) -> DataFrame:
+    """``encode_padded`` with a vocabulary of any size.
+
+    Only each row's first ``max_len`` tokens leave it, as (row, place, token).  Inside a task a token is
+    looked for once for each run of rows: (task, token) pairs meet the vocabulary, not every
+    occurrence, so common words are as frequent as there are tasks.  Ids come back packed with their
+    places, in rows numbered when the tokens were written; repeated and null row ids keep their rows.
+    """
+    tokens = stage(
+        df.select(
+            F.col(f"`{row_id}`").alias("_id"),
+            F.slice(tx.words(F.col(text)), 1, max_len).alias("_tokens"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+    )
+    task = F.shiftright("_row", 33)  # rows of one task and what they hold
+    places = tokens.select("_row", task.alias("_task"), F.posexplode("_tokens").alias("_pos", "token"))
+    asked = places.select("_task", "token").distinct()
+    known = lookup_join(asked, vocabulary.select("token", "id"), ["token"], "inner")
+    packed = F.shiftleft(F.col("_pos").cast("long"), 32).bitwiseOR(F.coalesce("id", F.lit(V.UNKNOWN_ID)).cast("long"))
+    found = (
+        places.join(known, ["_task", "token"], "left")
+        .groupBy("_row")
+        .agg(F.array_sort(F.collect_list(packed)).alias("_packed"))  # at most max_len numbers
+    )
+    ids = F.transform(F.coalesce("_packed", F.array().cast("array<long>")), lambda p: p.bitwiseAND(F.lit(2**32 - 1)).cast("int"))
+    padding = F.array_repeat(F.lit(V.PAD_ID), F.lit(max_len) - F.size(ids))
+    joined = tokens.select("_id", "_row").join(found, "_row", "left")
+    return joined.select(F.col("_id").alias(row_id), F.concat(ids, padding).alias("ids"))
+
+
 def attention_mask(ids: Column) -> Column:
     """1 for a token, 0 for padding."""
     return F.transform(ids, lambda i: F.when(i != V.PAD_ID, 1).otherwise(0))

@@ -24,6 +24,15 @@ def pair_by_key(predictions: DataFrame, references: DataFrame, keys: Sequence[st
     return predictions.join(references, list(keys), "inner")
 
 
+def pair_by_position(predictions: DataFrame, references: DataFrame, position: str = "sample_id") -> DataFrame:
+    """The n-th prediction with the n-th reference; what the longer side has more is left out.
+
+    Both sides carry their places (``sources.positions``), which are unique.  Other columns must
+    have different names.
+    """
+    return predictions.join(references, position, "inner")
+
+
 def with_responses(pairs: DataFrame, task: str = "multi_task") -> DataFrame:
     """For multi-task output compare only what follows the response label."""
     if task != "multi_task":

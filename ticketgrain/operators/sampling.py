@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketgrain.operators.scaling import lookup_join, require_columns, stage
 
@@ -128,13 +129,72 @@ def stratified_split(
 
 
 def head(df: DataFrame, n: int, row_id: str) -> DataFrame:
-    """First n rows in id order (each task keeps n, one task merges)."""
-    return df.orderBy(row_id).limit(n)
+    """The n rows with the smallest ids, in no order; null ids come first.
+
+    See ``first_by_key``.  Of other ids than whole numbers each task sends its n smallest to one, ids
+    only; with ids of several fields (structs) the rows go with them.
+    """
+    kind = df.schema[row_id].dataType
+    if not isinstance(kind, T.AtomicType):
+        return df.orderBy(row_id).limit(n)
+    if isinstance(kind, T.IntegralType):
+        return first_by_key(df, n, F.coalesce(F.col(row_id).cast("long"), F.lit(-(2**63))), F.col(row_id).isNotNull().cast("int"))
+    last = df.select(row_id).orderBy(row_id).limit(n).agg(F.max(row_id), F.count(F.lit(1)), F.count(row_id)).first()
+    if last[1] < n:
+        return df
+    return _up_to(df, n, F.col(row_id) < F.lit(last[0]), F.col(row_id).eqNullSafe(F.lit(last[0])), F.col(row_id).isNull() & (last[2] > 0))
 
 
 def random_sample(df: DataFrame, n: int, row_id: str, seed: int = 42) -> DataFrame:
-    """n rows drawn without replacement; all rows when there are fewer."""
-    return df.orderBy(sample_order(row_id, seed), row_id).limit(n)
+    """n rows drawn without replacement, in no order; all rows when there are fewer.
+
+    The draw goes by a hash of the id: its first 60 bits as a number, then the rest of its text.
+    """
+    order = sample_order(row_id, seed)
+    key = F.coalesce(F.conv(F.substring(order, 1, 15), 16, 10).cast("long"), F.lit(-1).cast("long"))  # null ids first
+    return first_by_key(df, n, key, F.coalesce(F.concat(order, F.col(row_id).cast("string")), F.lit("")))
+
+
+# Keys are counted in so many steps when a cut is looked for, and a step is cut again while it holds more rows than this.
+_STEPS, _ENOUGH = 1024, 4096
+
+
+def first_by_key(df: DataFrame, n: int, key: Column, tie: Column) -> DataFrame:
+    """The n rows with the smallest (key, tie); ``key`` is a long without nulls.
+
+    The n-th key is found from histograms of the keys (each a bounded number of rows), refined in the
+    step where the n-th row lies.  Rows are then filtered where they are: no row travels.
+    """
+    keys = df.select(key.alias("k"), tie.alias("t"))
+    low, high, total = keys.agg(F.min("k"), F.max("k"), F.count(F.lit(1))).first()
+    if n <= 0:
+        return df.limit(0)
+    if total <= n:
+        return df
+    below, inside = 0, total
+    while high > low and inside > _ENOUGH:
+        width = -(-(high - low + 1) // _STEPS)
+        # decimals hold the distance of any two longs
+        step = F.floor((F.col("k").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)"))
+        counts = keys.filter(F.col("k").between(low, high)).groupBy(step.cast("int").alias("s")).count().collect()
+        for s, rows in sorted(tuple(c) for c in counts):
+            if below + rows >= n:
+                low, high, inside = low + s * width, min(high, low + (s + 1) * width - 1), rows
+                break
+            below += rows
+    k, t = (
+        keys.filter(F.col("k").between(low, high)).orderBy("k", "t").limit(n - below).agg(F.max(F.struct("k", "t")).alias("m")).select("m.*").first()
+    )
+    return _up_to(df, n, (key < F.lit(k)) | ((key == F.lit(k)) & (tie < F.lit(t))), (key == F.lit(k)) & (tie == F.lit(t)))
+
+
+def _up_to(df: DataFrame, n: int, before: Column, last: Column, also: Column | None = None) -> DataFrame:
+    """Rows before the last place, and as many of those equal to it as are wanted."""
+    before = before if also is None else F.coalesce(before, F.lit(False)) | also
+    counted = df.agg(F.count_if(before), F.count_if(last)).first()
+    if counted[0] + counted[1] <= n:
+        return df.filter(before | last)
+    return df.filter(before).unionByName(df.filter(last).limit(n - counted[0]))
 
 
 def holdout(df: DataFrame, row_id: str, val_size: float = 0.05, seed: int = 42) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions import text as tx
 from ticketgrain.operators import features, profiling
+from ticketgrain.operators.scaling import stage
 from ticketgrain.plans import mappings as m
 from ticketgrain.plans.registry import query, rounded, sql_basic_clean, sql_rounded, sql_words, table
 
@@ -240,6 +241,26 @@ def encoded_docs(spark, sf):
     return _encoded(spark, sf).select("doc_id", F.array_join(ids, " ").alias("ids"))
 
 
+# Every fifth document is left out of the fit, so that some words are unknown.
+_TRAIN_SQL = "doc_id % 5 <> 0"
+_ALL_IDS_SQL = f"""
+WITH toks AS MATERIALIZED ({_TOKENS_SQL}),
+vocab AS (SELECT token, row_number() OVER (ORDER BY first) + 1 AS id
+          FROM (SELECT token, min(doc_id * 2147483648::HUGEINT + pos) AS first FROM toks WHERE {_TRAIN_SQL} GROUP BY token)),
+ids AS (SELECT t.doc_id, list(coalesce(v.id, 1) ORDER BY t.pos) AS ids FROM toks t
+        LEFT JOIN vocab v USING (token) WHERE t.pos <= 256 GROUP BY t.doc_id)
+SELECT d.doc_id, array_to_string(list_resize(coalesce(ids, []), 256, 0), ' ') AS ids FROM documents d LEFT JOIN ids USING (doc_id)"""
+
+
+@query("encoded_docs_all", _ALL_IDS_SQL)
+def encoded_docs_all(spark, sf):
+    """256 ids of a vocabulary that has every word of the training documents."""
+    docs = _cleaned(spark, sf)
+    vocabulary = stage(features.vocabulary_all(docs.filter(_TRAIN_SQL), "doc_id"))
+    encoded = features.encode_joined(docs, "doc_id", vocabulary, max_len=V.LONG_SEQUENCE)
+    return encoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
+
+
 @query(
     "attention_mask",
     f"""SELECT doc_id, array_to_string(list_transform(ids, lambda i: CASE WHEN i = 0 THEN 0 ELSE 1 END), ' ') AS mask

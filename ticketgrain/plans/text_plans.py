@@ -168,6 +168,25 @@ def sample_n(spark, sf):
     return sampling.random_sample(table(spark, sf, "documents").select("doc_id", "source"), 100, "doc_id")
 
 
+def _line_items(spark, sf):
+    items = table(spark, sf, "lineitem")
+    return items.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"), "l_shipdate", "l_quantity")
+
+
+_LINE_ITEMS_SQL = "SELECT l_orderkey * 10 + l_linenumber AS line_id, l_shipdate, l_quantity FROM lineitem"
+
+
+@query("head_20000", f"SELECT * FROM ({_LINE_ITEMS_SQL}) ORDER BY line_id LIMIT 20000")
+def head_20000(spark, sf):
+    """A long head: found by its last key, rows filtered where they are."""
+    return sampling.head(_line_items(spark, sf), 20_000, "line_id")
+
+
+@query("sample_20000", f"SELECT * FROM ({_LINE_ITEMS_SQL}) ORDER BY md5(line_id || '-42'), line_id LIMIT 20000")
+def sample_20000(spark, sf):
+    return sampling.random_sample(_line_items(spark, sf), 20_000, "line_id")
+
+
 @query(
     "holdout",
     f"""SELECT doc_id, CASE WHEN substr(md5(doc_id || '-42'), 1, 8) < '{int(0.05 * 16**8):08x}' THEN 'val'

@@ -14,13 +14,14 @@ from ticketgrain import schemas
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions import text as tx
 from ticketgrain.operators import classification as cl
-from ticketgrain.operators import experiments, features, models, sampling
+from ticketgrain.operators import experiments, features, generation, models, sampling
 from ticketgrain.operators import workflow as wf
 from ticketgrain.operators.scaling import stage
 from ticketgrain.plans import mappings as m
 from ticketgrain.plans.registry import query, rounded, sql_prompt, sql_text, table
 from ticketgrain.session import scratch_path
 from ticketgrain.sources import readers, writers
+from ticketgrain.sources.positions import with_positions
 from ticketgrain.streaming import counters, review
 from ticketgrain.streaming import intake as streams
 
@@ -354,6 +355,44 @@ def json_roundtrip(spark, sf):
     return readers.read_json_records(spark, path, turns.schema)
 
 
+_TURNS_SQL = """SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS sample_id, conv_id, turn, role, text
+FROM conversations"""
+
+
+@query("json_array_roundtrip", _TURNS_SQL)
+def json_array_roundtrip(spark, sf):
+    """Turns in several files of one JSON array each, read back with their places."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    path = scratch_path(spark, "json-arrays")
+    writers.write_json_arrays(turns.repartitionByRange(5, "conv_id", "turn").sortWithinPartitions("conv_id", "turn"), path)
+    return readers.read_json_array(spark, path, turns.schema)
+
+
+@query(
+    "positional_pairs",
+    f"""SELECT p.sample_id, p.text AS prediction, r.role AS reference FROM ({_TURNS_SQL}) p
+    JOIN (SELECT row_number() OVER (ORDER BY conv_id DESC, turn) - 1 AS sample_id, role FROM conversations WHERE role <> 'system'
+          AND turn > 0) r USING (sample_id)""",
+)
+def positional_pairs(spark, sf):
+    """Two outputs without keys, of unequal length and dealt over unequal files, joined place by place."""
+    turns = table(spark, sf, "conversations")
+    base = scratch_path(spark, "positions")
+    predictions = turns.repartitionByRange(6, "conv_id", "turn").sortWithinPartitions("conv_id", "turn").select("text")
+    order = (F.desc("conv_id"), F.asc("turn"))
+    later = turns.filter("role <> 'system' AND turn > 0").repartitionByRange(4, *order).sortWithinPartitions(*order)
+    writers.write_samples(predictions, f"{base}/predictions")
+    writers.write_samples(later.select("role"), f"{base}/references")
+    places = [
+        with_positions(readers.read_json_records(spark, f"{base}/{name}", side.schema), "sample_id").withColumnRenamed(column, new)
+        for name, side, column, new in (
+            ("predictions", turns.select("text"), "text", "prediction"),
+            ("references", turns.select("role"), "role", "reference"),
+        )
+    ]
+    return generation.pair_by_position(*places)
+
+
 @query(
     "split_roundtrip",
     """SELECT doc_id, source FROM documents WHERE substr(md5(doc_id || '-42'), 1, 8) < '0ccccccc'""",

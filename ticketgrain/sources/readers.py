@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketgrain import schemas
+from ticketgrain.sources.positions import with_positions
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -68,15 +69,13 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType, arra
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Records of one JSON array file with their position as ``sample_id``.
+    """Records of files that hold one JSON array each, numbered over all files as ``sample_id``.
 
-    For files without keys, where the order is the only link between two of them.
-    Larger data carries its keys as JSON lines.
+    For files without keys, where the order is the only link between two of them.  A file is parsed
+    by one task as a stream of records; several files are parsed side by side and numbered in the
+    order of their paths, each by its place in the array.
     """
-    whole = spark.read.option("wholetext", True).text(path)
-    records = F.from_json("value", T.ArrayType(schema))
-    position = whole.select(F.posexplode(records).alias("sample_id", "_r"))
-    return position.select(F.col("sample_id").cast("long").alias("sample_id"), "_r.*")
+    return with_positions(read_json_records(spark, path, schema, array=True), "sample_id")
 
 
 def load_evaluations(spark: SparkSession, eval_dir: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,24 @@ def write_samples(samples: DataFrame, path: str, mode: str = "error") -> None:
     samples.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(samples: DataFrame, path: str, mode: str = "error") -> None:
+    """One JSON array for each partition, one record a line; null fields stay visible."""
+
+    def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None  # a record waits for the next one, which tells that a comma follows
+        yield pd.DataFrame({"value": ["["]})
+        for batch in batches:
+            records = batch["value"].tolist()
+            if records:
+                ready = [*([] if last is None else [last]), *records[:-1]]
+                last = records[-1]
+                yield pd.DataFrame({"value": [f"{r}," for r in ready]}, dtype="object")
+        yield pd.DataFrame({"value": [*([] if last is None else [last]), "]"]})
+
+    written = samples.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    written.mapInPandas(lines, "value string").write.mode(mode).option("lineSep", "\n").format("text").save(path)
+
+
 def write_predictions(scored: DataFrame, path: str, mode: str = "error") -> None:
     """instruction, input, output, reference (with any leading key columns)."""
     scored.write.mode(mode).option("ignoreNullFields", False).json(path)
