@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from ticketgrain.operators import features, models
 
@@ -67,3 +68,29 @@ def test_score_prompts(spark):
     got = models.score_prompts(samples.repartition(3), make_predictor, keep=("k",)).orderBy("k").collect()
     assert [tuple(r) for r in got[:2]] == [(0, "do", "text 0", "TEXT 0", "ref 0"), (1, "do", "text 1", "TEXT 1", "ref 1")]
     assert len(got) == 9
+
+
+def test_training_key_and_log(spark, tmp_path):
+    """Rows in any order have one key; other rows, columns or parameters have another, and no stale model is loaded."""
+    data = spark.createDataFrame([(float(i % 2), Vectors.dense([float(i % 2), 1.0])) for i in range(40)], ["label", "features"])
+    plain = spark.createDataFrame([(i % 7, f"t{i}") for i in range(50)], "label long, text string")
+    key = models.training_key(plain, c=1.0)
+    assert key == models.training_key(plain.repartition(3).orderBy("text"), c=1.0)
+    others = [plain.filter("text <> 't3'"), plain.unionByName(plain.limit(1)), plain.withColumn("label", F.col("label") + 1), plain.limit(0)]
+    keys = {models.training_key(other, c=1.0) for other in others} | {models.training_key(plain, c=2.0), key}
+    assert len(keys) == 6
+    log = models.training_log(spark, models.fit_logistic_regression(data)).orderBy("iteration").collect()
+    assert [r.iteration for r in log] == list(range(len(log))) and log[-1].objective < log[0].objective
+
+    def fit(c):
+        return lambda: PipelineModel([models.fit_logistic_regression(data, c=c)])
+
+    def refuse():
+        raise AssertionError("fitted again")
+
+    base = str(tmp_path / "models")
+    first = models.fit_or_load(spark, base, fit(1.0), "one")
+    again = models.fit_or_load(spark, base, refuse, "one")
+    other = models.fit_or_load(spark, base, fit(0.01), "two")
+    matrix = lambda m: m.stages[0].coefficientMatrix.toArray().tolist()
+    assert matrix(first) == matrix(again) != matrix(other)

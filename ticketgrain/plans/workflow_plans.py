@@ -577,7 +577,8 @@ def lr_saved_model(spark, sf):
         vectors = stage(steps.transform(train).select("label", "features"))
         return PipelineModel([*steps.stages, models.fit_logistic_regression(vectors, balanced=True)])
 
-    model = models.fit_or_load(spark, scratch_path(spark, "lr-model"), fit)
+    key = models.training_key(train.select("label", "text"), preset="full", balanced=True)
+    model = models.fit_or_load(spark, scratch_path(spark, "lr-model"), fit, key)
     predicted = models.predict(model, test.select("label", "text"))
     return cl.confusion_counts(predicted, "label", "predicted")
 
@@ -595,7 +596,7 @@ def lr_group_shares(spark, sf):
     one_hot = CountVectorizer(inputCol="_groups", outputCol="features", binary=True)
     data = data.withColumn("_groups", F.array("source"))
     vectors = one_hot.fit(data).transform(data)
-    classifier = models.fit_logistic_regression(stage(vectors.select("label", "features")), c=1e9)
+    classifier = models.fit_logistic_regression(stage(vectors.select("label", "features")), c=1e9, tol=1e-9)
     groups = vectors.dropDuplicates(["source"]).select("source", "features")
     shares = classifier.transform(groups).select("source", F.posexplode(vector_to_array("probability")).alias("id", "share"))
     present = docs.distinct()
@@ -603,6 +604,35 @@ def lr_group_shares(spark, sf):
     return rounded(named.select("source", "lang", "share"), 4)
 
 
+@query(
+    "lr_group_classes",
+    """WITH n AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL)
+    SELECT source, sum(n)::BIGINT AS documents, max(n) AS predicted_documents FROM n GROUP BY source""",
+)
+def lr_group_classes(spark, sf):
+    """A saved regression on one feature for each group, loaded again: each group's class is its most frequent one."""
+    docs = table(spark, sf, "documents").select("source", "lang")
+    index = stage(features.label_index(docs, "lang"))
+    data = features.encode_labels(docs, "lang", index).withColumn("label", F.col("label_id").cast("double"))
+    data = data.withColumn("_groups", F.array("source"))
+
+    def fit():
+        one_hot = CountVectorizer(inputCol="_groups", outputCol="features", binary=True).fit(data)
+        vectors = stage(one_hot.transform(data).select("label", "features"))
+        return PipelineModel([one_hot, models.fit_logistic_regression(vectors, c=1e9, tol=1e-9)])
+
+    def refuse():
+        raise RuntimeError("the saved model was not found")
+
+    base, key = scratch_path(spark, "lr-groups"), models.training_key(data, c=1e9, tol=1e-9)
+    models.fit_or_load(spark, base, fit, key)
+    loaded = models.fit_or_load(spark, base, refuse, key)
+    cells = cl.confusion_counts(models.predict(loaded, data).withColumn("cell", F.struct("source", "label")), "cell", "predicted")
+    right = F.when(F.col("truth.label") == F.col("prediction"), F.col("n")).otherwise(0)
+    found = cells.groupBy(F.col("truth.source").alias("source"))
+    return found.agg(F.sum("n").alias("documents"), F.sum(right).cast("long").alias("predicted_documents"))
+
+
 def _digest_predictor():
     """Stands in for a language model: answers with the digest of the whole prompt."""
 
