@@ -2,12 +2,13 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from tests.conftest import SF
 from tests.llm import odd
 from ticketgrain.llm import queries
 from ticketgrain.llm.byte_bpe import byte_codec
-from ticketgrain.llm.secret_scan import base_spans, is_known, random_spans, redact_secrets, redact_text, scan_secrets
+from ticketgrain.llm.secret_scan import Taken, base_spans, is_known, random_spans, redact_secrets, redact_text, scan_secrets, scan_text
 
 ARGS = (queries.BYTE_RANKS, queries.PATTERN)
 KEY = "q8ZxT3vLw0RkP5nYb7Jd2HsG"
@@ -107,3 +108,37 @@ def test_keys_among_words():
         assert found >= 190, (alphabet, length, before, found)
     for clean in (path, path + "123e4567-e89b-12d3-a456-426614174000", "2024-01-15-10-20-30", "AUTO_BROADCAST_JOIN_THRESHOLD", "MAX_WORD_DISTANCE"):
         assert random_spans(clean, codec, []) == [], clean
+
+
+HARMLESS = (
+    "/2024/01/15/how-to-fix-a-bug-in-your-app", "src/main/java/org/x/y/z/App", "up-to-the-minute-and-on-the-go",
+    "ISBN-978-3-16-148410-0-X", "2024-01-15T10-20-30Z-log-01", "//example.com/a/b/2024/01/15/some-long-title-of-a-page",
+    "https://www.example.org/en/685/the-news-of-2023-12-31/page2/index3", "a/b/c/d/e/f/g/h/i/j/k/l/m/n", "v1/v2/v3/api/x2/y3/z4",
+    "+49-30-1234-5678-90", "key_a1_b2_c3_d4_value", "python3/site-packages/lib2to3/pgen2", "en-US/de-DE/fr-FR/es-ES/it-IT",
+    "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", "sha384-oqVuAfXRKap7fdgcCY5uykM6+R9GqQ8K/uxy9rx7HNQlGYl1kPzQho1wx4JwY8wC",
+    "==================================", "123e4567-e89b-12d3-a456-426614174000/d41d8cd98f00b204e9800998ecf8427e",
+    "IPv4/IPv6/TCP/UDP/HTTP2/TLS13", "2-by-4-and-3-by-5-and-x-by-y", "img/IMG_20240115_102030_HDR_1080x1920",
+)
+
+
+def test_harmless_strings():
+    codec = byte_codec(*ARGS)
+    marked = [text for text in HARMLESS if scan_text(f"see {text} there", codec)[1]]
+    assert marked == []
+
+
+def test_many_spans_in_one_text():
+    """Keys and digests by the thousand are swept, not compared each with each."""
+    random.seed(5)
+    digits = string.ascii_letters + string.digits
+    words = []
+    for _ in range(10_000):
+        words += ["".join(random.choices(digits, k=24)), hashlib.sha256(str(random.random()).encode()).hexdigest()]
+    start = time.process_time()
+    base, more = scan_text(" ".join(words), byte_codec(*ARGS))
+    assert len(base) == 10_000 and len(more) > 9_500 and time.process_time() - start < 8
+    taken = Taken([(5, 9), (1, 3), (2, 4), (9, 10)])
+    assert (taken.starts, taken.ends) == ([1, 5], [4, 10])
+    for a in range(12):
+        for b in range(a + 1, 13):
+            assert taken.meets(a, b) == any(x < b and a < y for x, y in ((1, 4), (5, 10)))

@@ -1,15 +1,18 @@
 """Secret scans: fixed patterns and a token-efficiency test for random strings.
 
 Random strings need many tokens: a run of key characters with few characters per token under a
-byte-level vocabulary is reported unless it is a known kind of digest or identifier.  So is each
-part of a run between separators, and where neither tells, each stretch of tokens, so that words
-around a key do not hide it.  Names are excluded only where their tokens are about as long as words'.
+byte-level vocabulary is reported unless it is a known kind of digest or identifier.  A run with
+separators is judged by its parts: words, numbers, dates and names are left out first, then each long
+part is tested, and each string of mixed parts.  Names are excluded only where their tokens are about
+as long as words'.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections.abc import Iterable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,14 +33,20 @@ MIN_ASSIGNED, MIN_ACCESS = 8, 16
 # Candidates of the method: runs of key characters, and their parts, of at least this length.
 MIN_RUN = 16
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_SINGLE = re.compile(r"[A-Za-z0-9]{16,}")
+_WORD_PART = re.compile(r"[A-Za-z0-9]+")
+# Parts at the ends of such a string that are not mixed belong to it if + joins them, or if / does and they are this short.
+_EDGE = re.compile(r"(?=.*[A-Z0-9])[A-Za-z0-9]{1,5}")
+_INTEGRITY = re.compile(r"(?<![A-Za-z0-9])sha(?:1|256|384|512)-[A-Za-z0-9+/_-]{27,88}={0,2}")
 MAX_CHARS_PER_TOKEN = 2.2
 # Strings of words and numbers alone: the length from which the same ratio tells, and the ratio of several such parts.
 MIN_NAME = 20
 MAX_CHARS_PER_NAME_TOKEN = 1.8
-# Stretches of a longer run, with separators in them: characters and ratio; they hold capitals, small letters and digits.
-MIN_STRETCH = 20
-MAX_CHARS_PER_STRETCH_TOKEN = 1.8
+# Parts of a run with separators: mixed ones have fewer characters for each change of kind than this; one of a string has at
+# least so many characters; between two of a string stand at most so many others.  The ratio is that of the whole string.
+MAX_PIECE_CHARS = 3
+MIN_MIXED = 6
+MAX_LOOSE_CHARS = 5
+MAX_CHARS_PER_STRETCH_TOKEN = 1.9
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _HEX_ONLY = re.compile(r"[0-9a-fA-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
@@ -88,53 +97,78 @@ def is_random(run: str, codec, most: float = MAX_CHARS_PER_TOKEN) -> bool:
     return len(run) < most * len(codec.encode(run))
 
 
+class Taken:
+    """Places of spans, merged and ascending, so that one search tells whether a stretch is free."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        at = bisect_left(self.starts, b)
+        return at > 0 and self.ends[at - 1] > a
+
+
+def is_mixed(part: str) -> bool:
+    """Whether a part changes between capitals, small letters and digits as random strings do, every few characters."""
+    pieces = _PART.findall(part)
+    return len(pieces) > 1 and len(part) < MAX_PIECE_CHARS * len(pieces)
+
+
 def random_stretches(run: str, codec) -> list[tuple[int, int]]:
-    """Places of the joined stretches of tokens that are too short for words."""
-    ends = [0]
-    for token in codec.encode(run):
-        ends.append(ends[-1] + len(codec.decode([token])))
-    avoid = [(m.start(), m.end()) for m in _IDENTIFIER.finditer(run)]
-    avoid += [(m.start(), m.end()) for m in _SINGLE.finditer(run) if is_digest(m[0])]
-    found: list[tuple[int, int]] = []
-    last = 0
-    for first, begin in enumerate(ends):
-        while last < len(ends) and ends[last] - begin < MIN_STRETCH:
-            last += 1
-        if last == len(ends):
-            break
-        end = ends[last]
-        piece = run[begin:end]
-        mixed = re.search("[A-Z]", piece) and re.search("[a-z]", piece) and re.search("[0-9]", piece)
-        if not mixed or end - begin >= MAX_CHARS_PER_STRETCH_TOKEN * (last - first) or is_known(piece):
-            continue
-        if any(a < end and begin < b for a, b in avoid):
+    """Places of random strings in a run with separators, judged by its parts.
+
+    Words, numbers, dates and names are no evidence and are left out first.  What remains is parts that
+    are mixed; those that stand together, with parts of a few characters between them, are one string,
+    which is tested as a whole.  Long parts are tested alone too.  Digests and identifiers are left out.
+    """
+    parts = list(_WORD_PART.finditer(run))
+    digests = [m.span() for m in parts if len(m[0]) >= MIN_RUN and is_digest(m[0])]
+    avoid = Taken([*digests, *(m.span() for pattern in (_INTEGRITY, _IDENTIFIER) for m in pattern.finditer(run))])
+    found = [m.span() for m in parts if len(m[0]) >= MIN_RUN and not avoid.meets(*m.span()) and is_random(m[0], codec)]
+    groups: list[list[int]] = []
+    for i, m in enumerate(parts):
+        if is_mixed(m[0]) and not avoid.meets(*m.span()):
+            last = parts[groups[-1][-1]].end() if groups else 0
+            if not groups or m.start() - last > MAX_LOOSE_CHARS or avoid.meets(last, m.start()):
+                groups.append([])
+            groups[-1].append(i)
+
+    def joined(left: int, right: int, edge: int) -> bool:
+        between = run[parts[left].end() : parts[right].start()]
+        return between == "+" or between == "/" and _EDGE.fullmatch(parts[edge][0]) is not None
+
+    for group in groups:
+        sizes = [len(parts[i][0]) for i in group]
+        first, last = group[0], group[-1]
+        text = run[parts[first].start() : parts[last].end()]
+        if max(sizes) < MIN_MIXED or sum(sizes) < MIN_RUN or len(text) >= MAX_CHARS_PER_STRETCH_TOKEN * len(codec.encode(text)):
             continue
-        if found and begin <= found[-1][1]:
-            found[-1] = (found[-1][0], end)
-        else:
-            found.append((begin, end))
+        while first > 0 and joined(first - 1, first, first - 1):
+            first -= 1
+        while last + 1 < len(parts) and joined(last, last + 1, last + 1):
+            last += 1
+        found.append((parts[first].start(), parts[last].end()))
     return found
 
 
 def random_spans(text: str, codec, taken: list[Span], most: float = MAX_CHARS_PER_TOKEN) -> list[Span]:
-    found = []
+    """Runs without separators are tested whole, others by their parts; what meets a span of ``taken`` is left out."""
+    base, found = Taken((a, b) for a, b, _ in taken), []
     for m in _RUN.finditer(text):
         begin, end, run = m.start(), m.end(), m[0]
-        free = not any(a < end and begin < b for a, b, _ in taken)
-        if free and is_random(run, codec, most):
-            found.append((begin, end, "random"))
-            continue
         if run.isalnum():
-            continue
-        parts = [(p.start(), p.end()) for p in _SINGLE.finditer(run) if is_random(p[0], codec, most)]
-        joined: list[tuple[int, int]] = []
-        for a, b in sorted(parts + ([] if is_digest(run) else random_stretches(run, codec))):
-            if joined and a <= joined[-1][1]:
-                joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
-            else:
-                joined.append((a, b))
-        spans = [(begin + a, begin + b) for a, b in joined]
-        found += [(a, b, "random") for a, b in spans if not any(c < b and a < d for c, d, _ in taken)]
+            spans = [(begin, end)] if is_random(run, codec, most) else []
+        else:
+            merged = Taken(random_stretches(run, codec))
+            spans = [(begin + a, begin + b) for a, b in zip(merged.starts, merged.ends, strict=True)]
+        found += [(a, b, "random") for a, b in spans if not base.meets(a, b)]
     return found
 
 
