@@ -47,18 +47,18 @@ def distance(counts, shares):
 def quality(rows):
     """For (id, text, lang) rows: (id, counts..., class distance, word distance, kept) in the same order."""
     found = [measures(t) for _, t, _ in rows]
-    pool, size = defaultdict(lambda: [[0] * 6, [0] * (len(rules.WORD_BINS) + 1)]), Counter()
+    pool = defaultdict(lambda: [[0] * 6, [0] * (len(rules.WORD_BINS) + 1)])
     for (_, _, lang), (counts, classes, bins) in zip(rows, found, strict=True):
         if lang in rules.COMMON_WORDS and not counts[-1]:
-            size[lang] += 1
             pool[lang] = [[a + b for a, b in zip(x, y, strict=True)] for x, y in zip(pool[lang], (classes, bins), strict=True)]
-    known = {lang: [[n / sum(x) for n in x] for x in pool[lang]] for lang in pool if size[lang] >= rules.MIN_DOCUMENTS}
+    known = {lang: [[n / sum(x) for n in x] for x in pool[lang]] for lang in pool}
     out = []
     for (doc_id, text, lang), (counts, classes, bins) in zip(rows, found, strict=True):
         by_class = by_word = None
-        if lang in known and sum(classes) >= rules.MIN_CHARS:
+        tested = known and (lang is None or lang in rules.COMMON_WORDS)
+        if tested and sum(classes) >= rules.MIN_CHARS:
             by_class = min(distance(classes, k[0]) for k in known.values())
-        if lang in known and counts[0] >= rules.MIN_COMMON_WORDS:
+        if tested and counts[0] >= rules.MIN_COMMON_WORDS:
             by_word = min(distance(bins, k[1]) for k in known.values())
         near = (by_class or 0) <= rules.MAX_CLASS_DISTANCE and (by_word or 0) <= rules.MAX_WORD_DISTANCE
         out.append((doc_id, *counts, by_class, by_word, not counts[-1] and near))

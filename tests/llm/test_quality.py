@@ -61,3 +61,16 @@ def test_planted(spark):
     wanted = {r[0]: r[-1] for r in plain(rows)}
     assert found == wanted
     assert not found[900] and not found[901] and found[902] and all(found[i] for i, *_ in clean)
+
+
+def test_languages(spark):
+    """Rows without a language are tested, those of other languages are not; one document makes a reference."""
+    prose = "The story of the house by the river and of the man that was in it for a year is told as it was. " * 4
+    noise = " ".join(f"W{i}!!{i}#" for i in range(90))
+    rows = [(1, prose, "en"), (2, noise, None), (3, prose + "once more", None), (4, noise, "xx"), (5, prose, "fr"), (6, noise, "")]
+    found = quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert rounded(found.collect()) == rounded(plain(rows))
+    only = quality(spark.createDataFrame(rows[1:4], "doc_id long, text string, lang string")).collect()
+    assert all(r.class_distance is None for r in only)
+    kept = {r.doc_id: (r.kept, r.class_distance is not None) for r in found.collect()}
+    assert kept[2] == (False, True) and kept[4] == (True, False) and kept[6] == (True, False) and kept[5][1]

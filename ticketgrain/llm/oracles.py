@@ -41,7 +41,7 @@ hist AS MATERIALIZED (
     FROM c LEFT JOIN (SELECT rid, sum(n) AS s FROM found GROUP BY rid) USING (rid)),
 ref AS (
   SELECT lang, kind, bin, sum(n) / sum(sum(n)) OVER (PARTITION BY lang, kind) AS q FROM hist JOIN c USING (rid)
-  WHERE NOT base_failed AND lang IN ({langs}) GROUP BY lang, kind, bin HAVING count(*) >= {quality_rules.MIN_DOCUMENTS}),
+  WHERE NOT base_failed AND lang IN ({langs}) GROUP BY lang, kind, bin),
 dist AS (
   SELECT rid, kind, min(x) AS x FROM (
     SELECT rid, kind, lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
@@ -49,8 +49,8 @@ dist AS (
     FROM (SELECT rid, kind, bin, n / total AS p FROM hist WHERE total > 0) JOIN ref USING (kind, bin) GROUP BY ALL)
   GROUP BY ALL),
 near AS (
-  SELECT c.*, CASE WHEN lang IN (SELECT lang FROM ref) AND n_chars >= {quality_rules.MIN_CHARS} THEN a.x END AS by_class,
-    CASE WHEN lang IN (SELECT lang FROM ref) AND n_words >= {quality_rules.MIN_COMMON_WORDS} THEN b.x END AS by_word
+  SELECT c.*, CASE WHEN (lang IS NULL OR lang IN ({langs})) AND n_chars >= {quality_rules.MIN_CHARS} THEN a.x END AS by_class,
+    CASE WHEN (lang IS NULL OR lang IN ({langs})) AND n_words >= {quality_rules.MIN_COMMON_WORDS} THEN b.x END AS by_word
   FROM c LEFT JOIN dist a ON a.rid = c.rid AND a.kind = 'class' LEFT JOIN dist b ON b.rid = c.rid AND b.kind = 'word')
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(by_class, 6) AS class_distance,
   round(by_word, 6) AS word_distance, NOT base_failed AND coalesce(by_class, 0) <= {quality_rules.MAX_CLASS_DISTANCE}

@@ -17,10 +17,9 @@ from ticketgrain.llm.common import NULL_ID, quoted, staged
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 GRAM = 5
-# Length guards of the divergence rules, and documents that a reference needs.
+# Length guards of the divergence rules.
 MIN_CHARS = 200
 MIN_COMMON_WORDS = 40
-MIN_DOCUMENTS = 20
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.335
 # Common words by language.
@@ -158,7 +157,7 @@ def language_references(rows: DataFrame) -> dict[str, tuple[list[float], list[fl
     sums += [F.sum(F.col("bins")[i]).alias(f"b{i}") for i in range(len(WORD_BINS) + 1)]
     fit = rows.filter(~F.col("base_failed") & F.col("lang").isin(*COMMON_WORDS)).groupBy("lang")
     found = {}
-    for r in fit.agg(F.count(F.lit(1)).alias("n"), *sums).filter(F.col("n") >= MIN_DOCUMENTS).collect():
+    for r in fit.agg(*sums).collect():
         classes = [r[f"c{i}"] for i in range(len(CLASSES))]
         bins = [r[f"b{i}"] for i in range(len(WORD_BINS) + 1)]
         found[r.lang] = ([n / sum(classes) for n in classes], [n / sum(bins) for n in bins])
@@ -184,7 +183,7 @@ def judged(rows: DataFrame) -> DataFrame:
     nothing = F.lit(None).cast("double")
     by_class, by_word = nothing, nothing
     if references:
-        here = F.col("lang").isin(*sorted(references))
+        here = F.col("lang").isNull() | F.col("lang").isin(*COMMON_WORDS)
         both = [
             [divergence(F.col(c), F.col(n), r[i]) for _, r in sorted(references.items())]
             for i, (c, n) in enumerate((("classes", "n_chars"), ("bins", "n_words")))
@@ -203,8 +202,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance,
     word_distance, kept: one row for each row of ``docs``.
 
-    Null and empty texts have no words and fail.  Without a language column, or with a language
-    that has no reference, the base rules decide.  Repeated rows are judged each.
+    Null and empty texts have no words and fail.  A row without a language is held against all
+    references like any other; for languages without common words here the base rules decide, as they
+    do without any reference (no language column).  Repeated rows are judged each.
     """
     rows = judged(staged(measured(docs, id_col, text_col, lang_col), "quality"))
     return rows.select(
