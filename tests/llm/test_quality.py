@@ -65,7 +65,7 @@ def test_planted(spark):
 
 def test_languages(spark):
     """Rows without a language are tested, those of other languages are not; one document makes a reference."""
-    prose = "The story of the house by the river and of the man that was in it for a year is told as it was. " * 4
+    prose = " ".join(f"the house{chr(97 + i)} and the man{chr(97 + i)} of a town{chr(97 + i)} in it" for i in range(20))
     noise = " ".join(f"W{i}!!{i}#" for i in range(90))
     rows = [(1, prose, "en"), (2, noise, None), (3, prose + "once more", None), (4, noise, "xx"), (5, prose, "fr"), (6, noise, "")]
     found = quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
