@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -100,6 +101,41 @@ def test_every_pair_of_bits_meets(spark):
     assert links(apart).count() == 0
 
 
+def test_segment_tables_at_other_distances(spark):
+    """The same components as all pairs, through small entries, crowded ones, and both."""
+    from ticketgrain.llm.simhash import links
+
+    rng = random.Random(8)
+    flipped = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(64), n))
+    prints = {0, 2**64 - 1, 2**63}
+    for _ in range(12):
+        base = rng.getrandbits(64)
+        prints.update([base, *(flipped(base, rng.randint(1, 6)) for _ in range(6))])
+    signed = {x - 2**64 if x >= 2**63 else x: x for x in prints}
+    nodes = spark.createDataFrame([(x,) for x in signed], "fp long")
+    for bits, segments, entry in ((1, 4, 8), (2, 2, 8), (2, 4, 1), (2, 2, 0), (3, 2, 8), (3, 4, 1), (3, 2, 0), (5, 4, 8)):
+        root = {x: x for x in prints}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a in prints:
+            for b in prints:
+                if (a ^ b).bit_count() <= bits:
+                    root[find(a)] = find(b)
+        wanted = {}
+        for x in prints:
+            wanted.setdefault(find(x), set()).add(x)
+        found = {}
+        for r in components(links(nodes, bits, segments, entry)).collect():
+            found.setdefault(r.root, set()).add(signed[r.node])
+        assert {frozenset(g) for g in found.values()} == {frozenset(g) for g in wanted.values() if len(g) > 1}, (bits, segments, entry)
+    with pytest.raises(ValueError):
+        links(nodes, segments=3)
+
+
 def test_components(spark):
     random.seed(2)
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (95, 100), (200, 201), (201, 202), (202, 200)]

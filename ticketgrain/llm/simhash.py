@@ -1,11 +1,14 @@
-"""SimHash near-duplicates by one table of whole keys.
+"""SimHash near-duplicates by multi-index hashing.
 
-A fingerprint and all its one-bit flips are table keys (enumerated segment by segment; the
-segments make no difference to the keys).  This is exact for ``MAX_BITS`` up to 2 and would lose
-links beyond.  Both sides of a pair do this, so two fingerprints that differ in at most two bits
-meet at a key half way, whichever segments the bits lie in.  A key holds at most 65
-fingerprints, however many near copies there are, and all of them link to its smallest one:
-no pairs within a group are written.  Complete distances are verified before linking.
+A fingerprint is cut into segments, each with a table of its own: (segment, value) -> fingerprints.
+Of two fingerprints within ``bits`` bits some segment differs in at most ``bits // segments``, so
+every fingerprint looks up the Hamming ball of that radius around each of its segments, and the
+complete distances to what it finds are verified.
+
+A table entry of more than ``ENTRY`` fingerprints is not paired.  Fingerprints that look one up
+meet at whole keys instead: all fingerprints within half of the bits.  Whatever lies on a key's far
+side links to the smallest on its near side, which needs one row for each fingerprint and key, no
+pairs, and connects the same components.
 
 Copies share a fingerprint and are one node of the graph.
 """
@@ -15,16 +18,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketgrain.llm.common import NULL_ID, id_and_text, map_texts, order_id, quoted, staged
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
-SEGMENTS = 4
+SEGMENTS = 2
 BITS = 64
 SEED = 42
+# Table entries of more fingerprints are met by whole keys.
+ENTRY = 8
 
 
 def shingle_hashes(text: bytes, width: int = SHINGLE_WORDS) -> list[int]:
@@ -64,26 +69,61 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, id_col: str = "doc
     return map_texts(rows, run, "doc_id long, tie long, fp long")
 
 
-def table_keys(fp, segments: int = SEGMENTS):
-    """The fingerprint, and it with each segment exchanged for each member of that segment's ball."""
+def ball(value, width: int, radius: int):
+    """All values that differ from ``value`` in at most ``radius`` of the lowest ``width`` bits."""
+    flips = F.array(*[F.lit(1 << b if b < 63 else -(2**63)) for b in range(width)])
+    found = F.array(value)
+    for _ in range(radius):
+        further = F.transform(found, lambda near: F.transform(flips, lambda flip: near.bitwiseXOR(flip)))
+        found = F.array_distinct(F.concat(found, F.flatten(further)))
+    return found
+
+
+def segment_values(segments: int, radius: int):
+    """Structs (segment, value): the ball around each segment of the column fp."""
     width = BITS // segments
-    keys = [F.array(fp)]
-    for segment in range(segments):
-        flips = F.array(*[F.lit(1 << b if b < 63 else -(2**63)) for b in range(segment * width, (segment + 1) * width)])
-        keys.append(F.transform(flips, lambda flip: fp.bitwiseXOR(flip)))
-    return F.concat(*keys)
+    mask = F.lit((1 << width) - 1 if width < BITS else -1)
 
+    def values(number: int):
+        own = F.shiftrightunsigned("fp", number * width).bitwiseAND(mask)
+        return F.transform(ball(own, width, radius), lambda v: F.struct(F.lit(number).alias("segment"), v.alias("value")))
 
-def links(nodes: DataFrame) -> DataFrame:
-    """a, b: distinct fingerprints (column fp) linked to a smaller one; what they connect is exact."""
-    met = nodes.select("fp", F.explode(table_keys(F.col("fp"))).alias("met"))
-    smallest = F.min("fp").over(Window.partitionBy("met"))  # at most 65 rows
-    return (
-        met.withColumn("b", smallest)
-        .filter((F.col("b") != F.col("fp")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("b"))) <= MAX_BITS))
-        .select(F.col("fp").alias("a"), "b")
-        .distinct()
-    )
+    return F.concat(*map(values, range(segments)))
+
+
+def whole_key_links(nodes: DataFrame, bits: int) -> DataFrame:
+    """a, b: fingerprints linked to one within ``bits`` bits; what they connect is exact.
+
+    Keys lie within ``bits // 2`` of the one side of a pair and within the rest of the other.
+    """
+    near, far = bits // 2, bits - bits // 2
+    met = nodes.select("fp", F.explode(ball(F.col("fp"), BITS, far)).alias("met"))
+    on_near_side = F.bit_count(F.col("fp").bitwiseXOR(F.col("met"))) <= near
+    least = met.groupBy("met").agg(F.min(F.when(on_near_side, F.col("fp"))).alias("b"), F.count(F.lit(1)).alias("n"))
+    return met.join(least.filter("n > 1").drop("n"), "met").filter("fp != b").select(F.col("fp").alias("a"), "b")
+
+
+def links(nodes: DataFrame, bits: int = MAX_BITS, segments: int = SEGMENTS, entry: int = ENTRY) -> DataFrame:
+    """a, b: distinct fingerprints (column fp) linked to others; what they connect is exact.
+
+    ``segments`` divides 64.  Probes grow with the ball around a segment, whole keys of crowded
+    entries with that around a fingerprint: 64 choose half of the bits.
+    """
+    if BITS % segments:
+        raise ValueError("segments of unequal length")
+    key = ["segment", "value"]
+    entries = nodes.select("fp", F.inline(segment_values(segments, 0)))
+    sizes = entries.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    crowded = sizes.filter(F.col("n") > entry)
+    few = entries.join(sizes.filter(F.col("n") <= entry), key).groupBy(key).agg(F.collect_list("fp").alias("others"))
+    table = few.unionByName(crowded.select(*key, F.lit(None).cast("array<long>").alias("others")))
+    probes = nodes.select("fp", F.inline(segment_values(segments, bits // segments)))
+    alike = F.filter("others", lambda o: (o < F.col("fp")) & (F.bit_count(o.bitwiseXOR(F.col("fp"))) <= bits))
+    found = probes.join(table, key).select("fp", alike.alias("alike"))
+    found = staged(found.filter("alike IS NULL OR size(alike) > 0"), "segment-matches")
+    direct = found.select(F.col("fp").alias("a"), F.explode("alike").alias("b"))
+    hot = found.filter("alike IS NULL").select("fp").distinct()
+    return direct.unionByName(whole_key_links(hot, bits)).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
