@@ -7,7 +7,9 @@ import numpy as np
 from tests.conftest import SF
 from tests.llm import odd
 from ticketgrain.llm import queries
-from ticketgrain.llm.lm_scoring import build_lookup, log_table, pair_counts, score_documents, train, with_fold, word_class, word_counts
+from ticketgrain.llm.lm_scoring import (
+    Pairs, build_lookup, log_probabilities, model_size, normalisers, pair_counts, score_documents, train, with_fold, word_class, word_counts,
+)
 
 
 def tokens(text):
@@ -51,20 +53,61 @@ def test_base_odd_rows(spark):
     assert base_columns(score_documents(odd.table(spark, [(only, "unseen words")]))) == base_rows([(only, "unseen words")])[0]
 
 
+def pairs_of(counts):
+    at = np.flatnonzero(counts)
+    return Pairs(*counts.shape, at, counts.ravel()[at])
+
+
+def log_table(model, batch=256):
+    """log10 probabilities of all symbols (columns) after all contexts."""
+    shape = len(model[0]), len(model[1])
+    contexts, symbols = (x.ravel() for x in np.indices(shape))
+    return log_probabilities(model, normalisers(model, batch), contexts, symbols).reshape(shape)
+
+
 def test_rows_are_probabilities():
     rng = np.random.default_rng(1)
     counts = rng.poisson(3, (12, 11)) * rng.integers(0, 2, (12, 11))
-    table = log_table(train(counts, rounds=20), batch=5)
+    table = log_table(train(pairs_of(counts), rounds=20), batch=5)
     assert table.shape == (12, 11) and np.allclose((10.0**table).sum(axis=1), 1, atol=1e-5)
 
 
 def test_training_finds_the_pairs():
     """With enough rounds the conditional frequencies come out."""
     counts = np.array([[900, 50, 50], [50, 900, 50], [200, 100, 700]])
-    table = 10.0 ** log_table(train(counts, dimensions=4, rounds=600))
+    table = 10.0 ** log_table(train(pairs_of(counts), dimensions=4, rounds=600))
     assert np.abs(table - counts / counts.sum(axis=1, keepdims=True)).max() < 0.03
 
 
+def test_blocks_change_nothing(monkeypatch):
+    rng = np.random.default_rng(2)
+    pairs = pairs_of(rng.poisson(2, (12, 11)))
+    whole = log_table(train(pairs, rounds=20))
+    monkeypatch.setattr("ticketgrain.llm.lm_scoring._CELLS", 30)
+    assert len(list(pairs.blocks())) == 6
+    assert np.allclose(whole, log_table(train(pairs, rounds=20)), atol=1e-3)
+
+
+def model_words(spark, counts):
+    words = spark.createDataFrame([(w.encode(), c) for w, c in counts.items()], "word binary, c long")
+    lookup = build_lookup(words)
+    return int((lookup.log_class[: len(lookup.index)] == 0).sum())
+
+
+def test_model_grows_with_the_words(spark):
+    """Copies of one text (many words of equal counts) fill the model like any other words."""
+    sizes = []
+    for distinct in (1_000, 8_000, 64_000):
+        counts = {f"w{i}": 1 + 100_000 // (i + 1) for i in range(distinct)}
+        sizes.append(model_words(spark, counts))
+        assert 0.95 * model_size(distinct) <= sizes[-1] <= model_size(distinct)
+    assert sizes[0] < 0.6 * sizes[1] < 0.36 * sizes[2]
+    counts.update({f"copy{i}": 5_000_000 for i in range(1_200)})
+    assert 0.95 * model_size(len(counts)) <= model_words(spark, counts) <= model_size(len(counts))
+    counts.update({f"copy{i}": 5_000_000 for i in range(1_200, 3_000)})
+    assert 0.95 * model_size(len(counts)) <= model_words(spark, counts) <= model_size(len(counts))
+
+
 def test_score_is_the_models(spark):
     """Scores from the tables, word by word, and open-vocabulary sums to one."""
     rows = odd.sf_texts(spark, SF)
@@ -74,7 +117,7 @@ def test_score_is_the_models(spark):
     lookup = build_lookup(words, 200, 40)
     pairs = pair_counts(training, lookup)
     counts = base_rows(rows)[1]
-    assert pairs.sum() == sum(counts.values())
+    assert pairs.n.sum() == sum(counts.values()) and (np.diff(pairs.at) > 0).all()
     table = log_table(train(pairs)).astype(float)
     in_model = {w: int(lookup.symbol[i]) for w, i in lookup.index.items() if lookup.log_class[i] == 0}
     models = len(in_model)
