@@ -26,7 +26,8 @@ def brute(text):
     places = [
         (i, label) for i in range(len(words)) for phrase, label in PHRASES.items() if words[i : i + len(phrase.split())] == phrase.split()
     ]
-    accepted = {label for label, markup in TEMPLATES for i in range(len(words)) if spelled(markup).match(" ".join([*words[i:], ""]))}
+    joined = " ".join([*words, ""])
+    accepted = {label for label, expression in EXPRESSIONS if expression.search(joined)}
     base = {label for _, label in places}
     starts = [i for i, _ in places]
     return (
@@ -36,8 +37,8 @@ def brute(text):
 
 
 def spelled(markup):
-    """The template as one regular expression over words with a blank after each."""
-    out = ""
+    """The template as one regular expression over words with a blank after each, from the start of a word on."""
+    out = "(?<![^ ])"
     for token in re.findall(r"\[\[|\]\]|\{[0-9]+\}|[^\s\[\]{}]+", markup):
         if token in ("[[", "]]"):
             out += "(?:" if token == "[[" else ")?"
@@ -48,6 +49,9 @@ def spelled(markup):
     return re.compile(out)
 
 
+EXPRESSIONS = [(label, spelled(markup)) for label, markup in TEMPLATES]
+
+
 def check(rows, found):
     assert odd.Counter(tuple(r) for r in found) == odd.Counter((i, *brute(t)) for i, t in rows)
 
@@ -91,3 +95,37 @@ def test_wrapped_and_creative_commons(spark):
         1: ("unlicense", 1.0), 2: ("cc-by,cc-by-nc-4.0", 1.0), 3: ("cc-by,cc-by-nc-sa-4.0", 1.0), 4: ("cc-by,cc-by-4.0", 1.0),
     }
     check(rows, found)
+
+
+def test_catalogue(spark):
+    """Names, SPDX lines and notices; plain prose about licenses has no label."""
+    wanted = {
+        "# SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0",
+        "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by,cc-by-sa-4.0",
+        "GNU Lesser General Public License v2.1": "lgpl,lgpl-2.1",
+        "the GNU Affero General Public License, version 3": "agpl,agpl-3.0",
+        "under the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of": "agpl,agpl-3.0",
+        "CC0 1.0 Universal": "cc0-1.0",
+        "Boost Software License - Version 1.0 - August 17th, 2003": "bsl-1.0",
+        "the terms of the Eclipse Public License v. 2.0": "epl-2.0",
+        "Eclipse Public License v2.0": "epl-2.0",
+        'see the "BSD 3-Clause License"': "bsd-3-clause",
+        "Creative Commons Attribution-ShareAlike 4.0 International": "cc-by-sa-4.0",
+        "a Creative Commons Attribution 3.0 Unported License": "cc-by-3.0",
+        "Creative Commons Attribution-Non Commercial-NoDerivs 2.5": "cc-by-nc-nd-2.5",
+        "Licensed under CC BY 3.0": "cc-by,cc-by-3.0",
+        "Licensed under the Apache License, Version 2.0": "apache,apache-2.0",
+        "Mozilla Public License 2.0": "mpl-2.0",
+        "SIL Open Font License, Version 1.1": "ofl-1.1",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it"
+        " and redistribute it freely, subject to the following restrictions:": "zlib",
+        "The city issued a general public license to 3 taverns; the lesser license, version 2, was for open carts.": "",
+        "A license identifier on the plate, a boost of software sales and a creative commons room with attribution.": "",
+        "Attribution-ShareAlike 4.0": "",
+    }
+    rows = list(enumerate(wanted))
+    found = scan_licenses(odd.table(spark, rows)).collect()
+    assert {rows[r.doc_id][1]: r.labels for r in found} == wanted
+    check(rows, found)
+    assert len({label for label, _ in TEMPLATES}) >= 60

@@ -10,7 +10,9 @@ text into account.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import product
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,8 +33,110 @@ PHRASES = {
     "mit license": "mit",
 }
 
+# SPDX license identifiers; their labels are the same in lower case.
+SPDX = (
+    "0BSD", "AFL-3.0", "AGPL-3.0", "Apache-1.1", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause",
+    "BSL-1.0", "CC0-1.0", "CC-BY-3.0", "CC-BY-4.0", "CC-BY-SA-3.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0",
+    "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "CDDL-1.0", "CDDL-1.1", "ECL-2.0", "EPL-1.0", "EPL-2.0", "EUPL-1.1", "EUPL-1.2",
+    "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "LPPL-1.3c", "MIT", "MIT-0", "MPL-1.1", "MPL-2.0",
+    "MS-PL", "MS-RL", "NCSA", "ODbL-1.0", "OFL-1.1", "OSL-3.0", "PostgreSQL", "Python-2.0", "QPL-1.0", "Unlicense", "UPL-1.0",
+    "Vim", "W3C", "WTFPL", "Zlib", "ZPL-2.1",
+)
+# Names of licenses with versions; {v} stands for one of the versions.
+NAMED = (
+    ("gpl", "gnu general public license [[as published by the free software foundation]] [[either]] {v}", ("1.0", "2.0", "3.0")),
+    ("lgpl", "gnu lesser general public license [[as published by the free software foundation]] [[either]] {v}", ("2.1", "3.0")),
+    ("lgpl", "gnu library general public license [[as published by the free software foundation]] [[either]] {v}", ("2.0",)),
+    ("agpl", "gnu affero general public license [[as published by the free software foundation]] [[either]] {v}", ("3.0",)),
+    ("apache", "apache license {v}", ("1.1", "2.0")),
+    ("mpl", "mozilla public license {v}", ("1.1", "2.0")),
+    ("epl", "eclipse public license {v}", ("1.0", "2.0")),
+    ("eupl", "european union public [[license]] [[licence]] {v}", ("1.1", "1.2")),
+    ("cddl", "common development and distribution license {v}", ("1.0", "1.1")),
+    ("bsl", "boost software license {v}", ("1.0",)),
+    ("artistic", "artistic license {v}", ("1.0", "2.0")),
+    ("ofl", "sil open font license {v}", ("1.1",)),
+    ("osl", "open software license {v}", ("2.1", "3.0")),
+    ("afl", "academic free license {v}", ("2.1", "3.0")),
+    ("zpl", "zope public license {v}", ("2.0", "2.1")),
+    ("odbl", "open database license {v}", ("1.0",)),
+    ("cc0", "cc0 {v} [[universal]]", ("1.0",)),
+    ("cc0", "creative commons zero {v}", ("1.0",)),
+)
+# Parts of Creative Commons names, and their versions.
+CC_WORDS = {"nc": ("noncommercial", "non commercial"), "sa": ("sharealike", "share alike"), "nd": ("noderivatives", "noderivs", "no derivatives")}
+CC_KINDS = ((), ("nc",), ("sa",), ("nd",), ("nc", "sa"), ("nc", "nd"))
+CC_VERSIONS = ("2.0", "2.5", "3.0", "4.0")
+
+
+def spdx_templates() -> Iterator[tuple[str, str]]:
+    for name in SPDX:
+        yield name.lower(), f"spdx license identifier {' '.join(re.split('[-.]', name.lower()))}"
+
+
+def version_wordings(version: str) -> list[str]:
+    """How "2.0" is written: 2 0, version 2 0, v 2 0, v2 0, and without the zero after a word for version."""
+    first, second = version.split(".")
+    rest = "[[0]]" if second == "0" else second
+    return [f"[[v]] {first} {second}", f"version {first} {rest}", f"v{first} {rest}"]
+
+
+def named_templates() -> Iterator[tuple[str, str]]:
+    for label, wording, versions in NAMED:
+        for version in versions:
+            for written in version_wordings(version):
+                yield f"{label}-{version}", wording.replace("{v}", written)
+
+
+def creative_commons_templates() -> Iterator[tuple[str, str]]:
+    for kind, version in product(CC_KINDS, CC_VERSIONS):
+        label, number = "-".join(("cc-by", *kind, version)), version.replace(".", " ")
+        yield label, f"licensed under [[a]] [[the]] [[creative commons]] cc by {' '.join(kind)} {number}"
+        for words in product(*(CC_WORDS[part] for part in kind)):
+            yield label, f"creative commons attribution {' '.join(words)} {number}"
+
+
 # Label and wording of usual notices and license texts.
 TEMPLATES = (
+    *spdx_templates(),
+    *named_templates(),
+    *creative_commons_templates(),
+    ("bsd-2-clause", "bsd 2 clause [[simplified]] license"),
+    ("bsd-2-clause", "simplified bsd license"),
+    ("bsd-3-clause", "bsd 3 clause [[new]] [[or]] [[revised]] license"),
+    ("bsd-4-clause", "bsd 4 clause [[original]] license"),
+    ("lgpl", "gnu lesser general public license"),
+    ("agpl", "gnu affero general public license"),
+    ("isc", "[[licensed under the]] isc license"),
+    ("zlib", "[[licensed under the]] zlib license"),
+    ("cc0-1.0", "has waived all copyright and related or neighboring rights to"),
+    (
+        "bsl-1.0",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and"
+        " accompanying documentation covered by this license the software to use reproduce display distribute execute and"
+        " transmit the software",
+    ),
+    (
+        "zlib",
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter"
+        " it and redistribute it freely subject to the following restrictions",
+    ),
+    (
+        "0bsd",
+        "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby"
+        " granted the software is provided as is",
+    ),
+    (
+        "postgresql",
+        "permission to use copy modify and distribute this software and its documentation for any purpose without fee and"
+        " without a written agreement is hereby granted",
+    ),
+    ("wtfpl", "do what the fuck you want to public license"),
+    (
+        "epl-2.0",
+        "this program and the accompanying materials are made available under the terms of the eclipse public license"
+        " [[v]] [[version]] 2 0",
+    ),
     ("mit", "[[this {6} is]] released under the [[terms of the]] mit license"),
     ("mit", "[[this {6} is]] licensed under the [[terms of the]] mit license"),
     (
@@ -58,24 +162,16 @@ TEMPLATES = (
         " materials provided with the distribution [[[[3]] neither the name of {12} nor the names of its contributors may"
         " be used to endorse or promote products derived from this software without specific prior written permission]]",
     ),
-    ("apache-2.0", "licensed under the apache license version 2 0 [[the license]]"),
     (
         "apache-2.0",
         "you may not use this file except in compliance with the license you may obtain a copy of the license at"
         " [[http]] [[https]] [[www]] apache org licenses license 2 0",
     ),
-    ("gpl-3.0", "[[this {6} is]] licensed under the gnu general public license version 3 [[0]]"),
     (
         "gpl",
         "you can redistribute it and or modify it under the terms of the gnu general public license as published by the"
         " free software foundation either version {1} of the license or at your option any later version",
     ),
-    ("cc-by-4.0", "licensed under [[a]] [[the]] [[creative commons]] cc by 4 0 [[international]] [[license]]"),
-    *(
-        (f"cc-by-{kind}-4.0", f"licensed under [[a]] [[the]] [[creative commons]] cc by {kind.replace('-', ' ')} 4 0 [[international]] [[license]]")
-        for kind in ("nc", "sa", "nd", "nc-sa", "nc-nd")
-    ),
-    ("cc-by-4.0", "licensed under [[a]] [[the]] creative commons attribution 4 0 international license"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
