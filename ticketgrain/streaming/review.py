@@ -18,9 +18,9 @@ org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -31,6 +31,8 @@ from ticketgrain.streaming import folders
 OUTPUT = "ticket_id long, status string, edited_response string, final_text string, reviewer string"
 _REVIEW = "status string, edited string, final_text string, reviewer string"
 _EDIT = "ts_us long, action_id long, text string"
+# Edits of one ticket and micro-batch that a task holds in memory.
+_HELD_EDITS = 1000
 
 
 class _ReviewProcessor(StatefulProcessor):
@@ -42,42 +44,42 @@ class _ReviewProcessor(StatefulProcessor):
         self._review = handle.getValueState("review", _REVIEW)
         self._edits = handle.getListState("edits", _EDIT)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        status, edited, final_text, reviewer = V.STATUS_PENDING, None, None, None
-        if self._review.exists():
-            status, edited, final_text, reviewer = self._review.get()
+    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
+        before = self._review.get()
+        status, edited, final_text, reviewer = before or (V.STATUS_PENDING, None, None, None)
         if status == V.STATUS_PENDING:
-            close = None
-            # Chunks pass by one at a time; edits wait in the state store, not in
-            # memory, until the batch's first terminal action is known.
-            for chunk in rows:
-                for row in _terminals(chunk):
-                    close = row if close is None or row[:2] < close[:2] else close
-                edits = chunk[chunk["action"] == "modify"]
-                if len(edits):
-                    columns = [edits[c].tolist() for c in ("ts_us", "action_id", "text")]
-                    self._edits.appendList(list(zip(*columns)))
+            place, close, edits, stored = None, None, [], False
+            # Edits wait until the batch's first terminal action is known: beyond a bounded
+            # number in the state store, not in memory.
+            for row in rows:
+                at = order_of(row.ts_us, row.action_id)
+                if place is not None and at >= place:
+                    continue
+                if row.action in TERMINAL:
+                    place, close = at, row
+                elif row.action == "modify":
+                    edits.append((row.ts_us, row.action_id, row.text))
+                    if len(edits) == _HELD_EDITS:
+                        self._edits.appendList(edits)
+                        edits, stored = [], True
             last = None
-            if self._edits.exists():
-                for row in self._edits.get():
-                    before = close is None or tuple(row[:2]) < close[:2]
-                    if before and (last is None or tuple(row[:2]) > tuple(last[:2])):
-                        last = row
+            for ts_us, action_id, text in chain(self._edits.get() if stored else (), edits):
+                at = order_of(ts_us, action_id)
+                if (place is None or at < place) and (last is None or at > last[0]):
+                    last = (at, text)
+            if stored:
                 self._edits.clear()
-            edited = last[2] if last is not None else edited
-            if close is not None and close[2] == "approve":
-                status, final_text, reviewer = V.STATUS_APPROVED, close[3], close[4]
+            edited = last[1] if last is not None else edited
+            if close is not None and close.action == "approve":
+                status, final_text, reviewer = V.STATUS_APPROVED, close.text, close.reviewer
             elif close is not None:
                 status = V.STATUS_REJECTED
             self._review.update((status, edited, final_text, reviewer))
             if close is not None and self._retention_ms is not None:
-                closed = max(close[0] // 1000, timer_values.getCurrentWatermarkInMs())
-                self._handle.registerTimer(closed + self._retention_ms)
-        state = [key[0], status, edited, final_text, reviewer]
-        names = ["ticket_id", "status", "edited_response", "final_text", "reviewer"]
-        yield pd.DataFrame({name: [value] for name, value in zip(names, state)})
+                self._handle.registerTimer(since(close.ts_us, timer_values) + self._retention_ms)
+        yield Row(ticket_id=key[0], status=status, edited_response=edited, final_text=final_text, reviewer=reviewer)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._review.clear()
         yield from ()
 
@@ -85,10 +87,15 @@ class _ReviewProcessor(StatefulProcessor):
         pass
 
 
-def _terminals(chunk: pd.DataFrame) -> Iterator[tuple]:
-    """The earliest terminal action of a chunk, if any."""
-    rows = chunk[chunk["action"].isin(TERMINAL)].sort_values(["ts_us", "action_id"]).head(1)
-    yield from rows[["ts_us", "action_id", "action", "text", "reviewer"]].itertuples(index=False, name=None)
+def order_of(*values) -> tuple:
+    """A tuple that orders as (time, id) does, nulls last."""
+    return tuple((value is None, value or 0) for value in values)
+
+
+def since(ts_us: int | None, timer_values) -> int:
+    """The event time in milliseconds from which a closed ticket is retained."""
+    now = timer_values.getCurrentWatermarkInMs()
+    return now if ts_us is None else max(ts_us // 1000, now)
 
 
 def review_stream(actions: DataFrame, late: str | None = None, retention: str = "30 days") -> DataFrame:
@@ -105,7 +112,7 @@ def review_stream(actions: DataFrame, late: str | None = None, retention: str =
     else:
         processor, mode = _ReviewProcessor(milliseconds(actions.sparkSession, retention)), "EventTime"
         keyed = keyed.withWatermark("ts", late)
-    return keyed.groupBy("ticket_id").transformWithStateInPandas(
+    return keyed.groupBy("ticket_id").transformWithState(
         statefulProcessor=processor, outputStructType=OUTPUT, outputMode="Update", timeMode=mode
     )
 
