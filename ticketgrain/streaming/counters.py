@@ -19,14 +19,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ticketgrain.operators.workflow import TERMINAL
 from ticketgrain.streaming import folders
-from ticketgrain.streaming.review import milliseconds
+from ticketgrain.streaming.review import milliseconds, order_of, since
 
 COUNTERS = ("total", "approved", "pending", "high_priority")
 _DELTAS = ", ".join(f"{c} long" for c in COUNTERS)
@@ -34,7 +33,7 @@ _SUBMITTED, _HIGH = "submitted", "high"
 
 
 def facts(tickets: DataFrame, actions: DataFrame, late: str) -> DataFrame:
-    """One stream of what changes a counter: ticket_id, ts, action_id, kind, high."""
+    """One stream of what changes a counter: ticket_id, ts, action_id, kind, high, ts_us."""
     submitted = tickets.select(
         F.col("id").alias("ticket_id"),
         F.col("created_at").alias("ts"),
@@ -45,7 +44,8 @@ def facts(tickets: DataFrame, actions: DataFrame, late: str) -> DataFrame:
     closed = actions.filter(F.col("action").isin(*TERMINAL)).select(
         "ticket_id", "ts", "action_id", F.col("action").alias("kind"), F.lit(False).alias(_HIGH)
     )
-    return submitted.unionByName(closed).filter("ticket_id IS NOT NULL").withWatermark("ts", late)
+    both = submitted.unionByName(closed).filter("ticket_id IS NOT NULL")
+    return both.withColumn("ts_us", F.unix_micros("ts")).withWatermark("ts", late)
 
 
 class _CounterProcessor(StatefulProcessor):
@@ -56,31 +56,29 @@ class _CounterProcessor(StatefulProcessor):
         self._handle = handle
         self._ticket = handle.getValueState("ticket", f"{_SUBMITTED} boolean, {_HIGH} boolean, closed string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        before = tuple(self._ticket.get()) if self._ticket.exists() else (False, False, None)
+    def handleInputRows(self, key, rows: Iterator[Row], timer_values) -> Iterator[Row]:
+        before = tuple(self._ticket.get() or (False, False, None))
         submitted, high, closed = before
         first = opened = None
-        for chunk in rows:
-            new = chunk[chunk["kind"] == _SUBMITTED].sort_values("ts").head(1)
-            for ts, flag in new[["ts", _HIGH]].itertuples(index=False, name=None):
-                opened = (ts, flag) if opened is None or ts < opened[0] else opened
-            done = chunk[chunk["kind"] != _SUBMITTED].sort_values(["ts", "action_id"]).head(1)
-            for row in done[["ts", "action_id", "kind"]].itertuples(index=False, name=None):
-                first = row if first is None or row[:2] < first[:2] else first
+        for row in rows:
+            place = order_of(row.ts_us, row.action_id)
+            if row.kind == _SUBMITTED:
+                opened = (place, row) if opened is None or place < opened[0] else opened
+            else:
+                first = (place, row) if first is None or place < first[0] else first
         if opened is not None and not submitted:
-            submitted, high = True, bool(opened[1])
+            submitted, high = True, opened[1][_HIGH]
         if first is not None and closed is None:
-            closed = first[2]
-            now = max(int(first[0].timestamp() * 1000), timer_values.getCurrentWatermarkInMs())
-            self._handle.registerTimer(now + self._retention_ms)
+            closed = first[1].kind
+            self._handle.registerTimer(since(first[1].ts_us, timer_values) + self._retention_ms)
         after = (submitted, high, closed)
         if after != before:
             self._ticket.update(after)
         change = [b - a for a, b in zip(_counted(before), _counted(after), strict=True)]
         if any(change):
-            yield pd.DataFrame({c: [n] for c, n in zip(COUNTERS, change, strict=True)})
+            yield Row(**dict(zip(COUNTERS, change, strict=True)))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._ticket.clear()
         yield from ()
 
@@ -97,7 +95,7 @@ def _counted(ticket: tuple) -> tuple[int, int, int, int]:
 def changes(tickets: DataFrame, actions: DataFrame, late: str = "1 day", retention: str = "30 days") -> DataFrame:
     """The +1 and -1 that tickets and actions make, a row for each changed ticket and micro-batch."""
     keyed = facts(tickets, actions, late).groupBy("ticket_id")
-    return keyed.transformWithStateInPandas(
+    return keyed.transformWithState(
         statefulProcessor=_CounterProcessor(milliseconds(tickets.sparkSession, retention)),
         outputStructType=_DELTAS,
         outputMode="Update",
