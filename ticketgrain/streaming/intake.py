@@ -153,7 +153,16 @@ _OPEN = f"{_DAY}, latest timestamp"
 
 
 def read_days(spark: SparkSession, table: str, part: str = "closed") -> DataFrame:
-    """day, dimension, value, n of the closed days, or of the late rows (``part='late'``), of complete batches."""
+    """day, dimension, value, n of the closed days, of the late rows (``part='late'``) or of the days still open (``open``)."""
     done = folders.numbers(spark, f"{table}/open")
-    found = folders.read(spark, f"{table}/{part}", [n for n in folders.numbers(spark, f"{table}/{part}") if n <= max(done, default=-1)], _DAY)
+    batches = done[-1:] if part == "open" else [n for n in folders.numbers(spark, f"{table}/{part}") if n <= max(done, default=-1)]
+    found = folders.read(spark, f"{table}/{part}", batches, _DAY)
+    if part == "open":
+        found = found.filter("day IS NOT NULL")  # not the row that carries the latest time
     return found.groupBy("day", "dimension", "value").agg(F.sum("n").alias("n"))
+
+
+def read_all_days(spark: SparkSession, table: str) -> DataFrame:
+    """day, dimension, value, n of everything that arrived: closed days, open days and late rows."""
+    closed, still_open, late = (read_days(spark, table, part) for part in ("closed", "open", "late"))
+    return closed.unionByName(still_open).unionByName(late).groupBy("day", "dimension", "value").agg(F.sum("n").alias("n"))
