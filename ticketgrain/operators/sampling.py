@@ -189,12 +189,14 @@ def first_by_key(df: DataFrame, n: int, key: Column, tie: Column) -> DataFrame:
 
 
 def _up_to(df: DataFrame, n: int, before: Column, last: Column, also: Column | None = None) -> DataFrame:
-    """Rows before the last place, and as many of those equal to it as are wanted."""
+    """Rows before the last place, and as many of those equal to it as are wanted: the smallest by all their columns."""
     before = before if also is None else F.coalesce(before, F.lit(False)) | also
     counted = df.agg(F.count_if(before), F.count_if(last)).first()
     if counted[0] + counted[1] <= n:
         return df.filter(before | last)
-    return df.filter(before).unionByName(df.filter(last).limit(n - counted[0]))
+    # maps and variants have no order
+    sortable = [F.col(f"`{f.name}`") for f in df.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    return df.filter(before).unionByName(df.filter(last).orderBy(*sortable).limit(n - counted[0]))
 
 
 def holdout(df: DataFrame, row_id: str, val_size: float = 0.05, seed: int = 42) -> DataFrame:
