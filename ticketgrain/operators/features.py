@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ticketgrain.functions import fixed_values as V
 from ticketgrain.functions import text as tx
+from ticketgrain.functions.batches import unpacked
 from ticketgrain.operators.scaling import global_row_number, lookup_join, stage, top_by_count
 
 
@@ -40,19 +42,52 @@ def encode_labels(df: DataFrame, label: str, index: DataFrame, name: str = "labe
 
 
 # --- vocabulary ---------------------------------------------------------------
+# Tasks pass their counts on when they hold more distinct tokens or terms than this.
+_COUNTED = 500_000
+# Rows that are encoded together.
+_BLOCK = 1024
+
+
 def _token_counts(df: DataFrame, row_id: str, tokens: Column) -> DataFrame:
     """token, n, first: the count and the place of the first occurrence.
 
-    The place is one fixed-width number (row id, then position), so the
-    aggregation stays a map-side hash aggregation.
+    Tasks count their tokens before anything is exploded: a row for each distinct token of a task,
+    or of ``_COUNTED`` of them.  The place is one fixed-width number (row id, then position).
     """
-    place = F.col("_doc") + F.col("_pos")
-    doc = F.col(row_id).cast("decimal(19,0)") * F.lit(2**31).cast("decimal(10,0)")
-    return (
-        df.select(doc.alias("_doc"), F.posexplode(tokens).alias("_pos", "token"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-    )
+    rows = df.select(F.col(row_id).cast("decimal(19,0)").alias("_doc"), tokens.alias("_tokens"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        first: dict[str, tuple] = {}
+
+        def taken() -> pa.RecordBatch:
+            docs, places = zip(*(first.get(t, (None, 0)) for t in counts), strict=True)
+            columns = [pa.array(counts, pa.string()), pa.array(counts.values(), pa.int64())]
+            columns += [pa.array(docs, pa.decimal128(19, 0)), pa.array(places, pa.int32())]
+            return pa.record_batch(columns, ["token", "n", "_doc", "_pos"])
+
+        for batch in batches:
+            for docs, listed in unpacked(batch.column("_doc"), batch.column("_tokens")):
+                for doc, words in zip(docs, listed):
+                    if words is None:
+                        continue
+                    counts.update(words)
+                    if doc is None:
+                        continue
+                    # the first place of each word: later ones are overwritten
+                    for word, place in dict(zip(words[::-1], range(len(words) - 1, -1, -1))).items():
+                        if word not in first or doc < first[word][0]:
+                            first[word] = (doc, place)
+                if len(counts) > _COUNTED:
+                    yield taken()
+                    counts.clear()
+                    first.clear()
+        if counts:
+            yield taken()
+
+    place = F.col("_doc") * F.lit(2**31).cast("decimal(10,0)") + F.col("_pos")
+    parts = rows.mapInArrow(count, "token string, n long, _doc decimal(19,0), _pos int")
+    return parts.groupBy("token").agg(F.sum("n").alias("n"), F.min(place).alias("first"))
 
 
 def vocabulary_top(
@@ -92,24 +127,30 @@ def encode_padded(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for tokens in batch.column("_tokens").to_pylist():
-                found = [ids.get(t, V.UNKNOWN_ID) for t in tokens or ()]
-                out.append(found + [V.PAD_ID] * (max_len - len(found)))
-            yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.int32()))], [row_id, "ids"])
+            yield pa.record_batch([batch.column(0), _padded(batch.column("_tokens"), ids, max_len)], [row_id, "ids"])
 
     return kept.mapInArrow(encode, f"`{row_id}` {df.schema[row_id].dataType.simpleString()}, ids array<int>")
 
 
+def _padded(tokens: pa.Array, ids: dict[str, int], max_len: int) -> pa.Array:
+    """The ids of each row's tokens, with zeros up to ``max_len``."""
+    out = []
+    for (rows,) in unpacked(tokens):
+        for words in rows:
+            found = [ids.get(t, V.UNKNOWN_ID) for t in (() if words is None else words)]
+            out.append(np.array(found + [V.PAD_ID] * (max_len - len(found)), np.int32))
+    return pa.array(out, pa.list_(pa.int32()))
+
+
 def encode_joined(
     df: DataFrame, row_id: str, vocabulary: DataFrame, text: str = "text", max_len: int = V.SHORT_SEQUENCE
 ) -> DataFrame:
     """``encode_padded`` with a vocabulary of any size.
 
-    Only each row's first ``max_len`` tokens leave it, as (row, place, token).  Inside a task a token is
-    looked for once for each run of rows: (task, token) pairs meet the vocabulary, not every
-    occurrence, so common words are as frequent as there are tasks.  Ids come back packed with their
-    places, in rows numbered when the tokens were written; repeated and null row ids keep their rows.
+    Only each row's first ``max_len`` tokens leave it, numbered when they are written.  Blocks of
+    ``_BLOCK`` rows ask the vocabulary for each of their distinct tokens once, so common words are as
+    frequent as there are blocks, and the answers come back to the block, whose rows are encoded
+    together.  Repeated and null row ids keep their rows.
     """
     tokens = stage(
         df.select(
@@ -118,20 +159,30 @@ def encode_joined(
             F.monotonically_increasing_id().alias("_row"),
         )
     )
-    task = F.shiftright("_row", 33)  # rows of one task and what they hold
-    places = tokens.select("_row", task.alias("_task"), F.posexplode("_tokens").alias("_pos", "token"))
-    asked = places.select("_task", "token").distinct()
-    known = lookup_join(asked, vocabulary.select("token", "id"), ["token"], "inner")
-    packed = F.shiftleft(F.col("_pos").cast("long"), 32).bitwiseOR(F.coalesce("id", F.lit(V.UNKNOWN_ID)).cast("long"))
-    found = (
-        places.join(known, ["_task", "token"], "left")
-        .groupBy("_row")
-        .agg(F.array_sort(F.collect_list(packed)).alias("_packed"))  # at most max_len numbers
-    )
-    ids = F.transform(F.coalesce("_packed", F.array().cast("array<long>")), lambda p: p.bitwiseAND(F.lit(2**32 - 1)).cast("int"))
-    padding = F.array_repeat(F.lit(V.PAD_ID), F.lit(max_len) - F.size(ids))
-    joined = tokens.select("_id", "_row").join(found, "_row", "left")
-    return joined.select(F.col("_id").alias(row_id), F.concat(ids, padding).alias("ids"))
+    # rows of one task are numbered from a multiple of 2**33
+    blocks = tokens.select("_id", "_tokens", F.floor(F.col("_row") / _BLOCK).alias("_block"))
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            met: dict[int, set[str]] = {}
+            for numbers, listed in unpacked(batch.column("_block"), batch.column("_tokens")):
+                for number, words in zip(numbers, listed):
+                    if words is not None:
+                        met.setdefault(number, set()).update(words)
+            at = np.repeat(np.array(list(met), np.int64), [len(words) for words in met.values()])
+            found = [t for words in met.values() for t in words]
+            yield pa.record_batch([pa.array(at), pa.array(found, pa.string())], ["_block", "token"])
+
+    asked = blocks.select("_block", "_tokens").mapInArrow(distinct, "_block long, token string").distinct()
+    known = lookup_join(asked, vocabulary.select("token", F.col("id").cast("int").alias("id")), ["token"], "inner")
+
+    def encode(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        ids = dict(zip(answers.column("token").to_pylist(), answers.column("id").to_pylist(), strict=True))
+        words = rows.column("_tokens").combine_chunks()
+        return pa.table({row_id: rows.column("_id"), "ids": _padded(words, ids, max_len)})
+
+    schema = f"`{row_id}` {df.schema[row_id].dataType.simpleString()}, ids array<int>"
+    return blocks.groupBy("_block").cogroup(known.groupBy("_block")).applyInArrow(encode, schema)
 
 
 def attention_mask(ids: Column) -> Column:
@@ -153,11 +204,42 @@ def _without(tokens: Column, stop_words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(list(stop_words)))
 
 
-def _terms(df: DataFrame, text: str, min_token_chars: int, stop_words: Sequence[str], *keep: str) -> DataFrame:
-    """Columns ``keep`` and _terms: words and word pairs in order; stop words go before pairs are built."""
-    # the tokens are a column of their own, so they are cut out of the text once
-    tokens = df.select(*keep, _without(_tokens(F.col(text), min_token_chars), stop_words).alias("_t"))
-    return tokens.select(*keep, F.concat("_t", tx.ngrams(F.col("_t"), 2)).alias("_terms"))
+def _kept_tokens(df: DataFrame, text: str, min_token_chars: int, stop_words: Sequence[str], *keep: str) -> DataFrame:
+    """Columns ``keep`` and _t: the words in order; stop words go before pairs are built."""
+    return df.select(*keep, _without(_tokens(F.col(text), min_token_chars), stop_words).alias("_t"))
+
+
+def _terms(words) -> list[str]:
+    """Words and word pairs in order."""
+    words = list(words)
+    return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def _term_counts(tokens: DataFrame) -> DataFrame:
+    """term, df, tf: rows that hold the term and its occurrences, counted by tasks; terms repeat."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+        all_: Counter = Counter()
+
+        def taken() -> pa.RecordBatch:
+            columns = [pa.array(all_, pa.string()), pa.array([held[t] for t in all_], pa.int64())]
+            return pa.record_batch([*columns, pa.array(all_.values(), pa.int64())], ["term", "df", "tf"])
+
+        for batch in batches:
+            for (rows,) in unpacked(batch.column("_t")):
+                for words in rows:
+                    terms = _terms(words)
+                    all_.update(terms)
+                    held.update(set(terms))
+                if len(all_) > _COUNTED:
+                    yield taken()
+                    held.clear()
+                    all_.clear()
+        if all_:
+            yield taken()
+
+    return tokens.select("_t").mapInArrow(count, "term string, df long, tf long")
 
 
 @dataclass(frozen=True)
@@ -176,25 +258,28 @@ class TfidfModel:
         """
         rows = self.terms.select("term", "feature", "idf").toArrow().to_pylist()
         known = {r["term"]: (r["feature"], r["idf"]) for r in rows}
-        terms = _terms(df, text, self.min_token_chars, self.stop_words, row_id)
+        tokens = _kept_tokens(df, text, self.min_token_chars, self.stop_words, row_id)
 
         def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                at, found, features, weights = [], [], [], []
-                for i, listed in enumerate(batch.column("_terms").to_pylist()):
-                    counts = Counter(t for t in listed or () if t in known)
-                    raw = [n * known[t][1] for t, n in counts.items()]
-                    norm = math.sqrt(sum(w * w for w in raw))
-                    at += [i] * len(raw)
-                    found += counts
-                    features += [known[t][0] for t in counts]
-                    weights += [w / norm for w in raw]
-                columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.string())]
-                columns += [pa.array(features, pa.int64()), pa.array(weights, pa.float64())]
-                yield pa.record_batch(columns, [row_id, "term", "feature", "weight"])
+                done = 0
+                for (rows,) in unpacked(batch.column("_t")):
+                    at, found, features, weights = [], [], [], []
+                    for i, words in enumerate(rows, done):
+                        counts = Counter(t for t in _terms(words) if t in known)
+                        raw = [n * known[t][1] for t, n in counts.items()]
+                        norm = math.sqrt(sum(w * w for w in raw))
+                        at += [i] * len(raw)
+                        found += counts
+                        features += [known[t][0] for t in counts]
+                        weights += [w / norm for w in raw]
+                    done += len(rows)
+                    columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(found, pa.string())]
+                    columns += [pa.array(features, pa.int64()), pa.array(weights, pa.float64())]
+                    yield pa.record_batch(columns, [row_id, "term", "feature", "weight"])
 
         key = f"`{row_id}` {df.schema[row_id].dataType.simpleString()}"
-        return terms.mapInArrow(weigh, f"{key}, term string, feature long, weight double")
+        return tokens.mapInArrow(weigh, f"{key}, term string, feature long, weight double")
 
     def to_pipeline(self, text: str = "text", output: str = "features") -> PipelineModel:
         """The same weights as sparse ML vectors, without any shuffle.
@@ -246,12 +331,9 @@ def fit_tfidf(
     """
     if stop_words is None:
         stop_words = english_stop_words() if use_stop_words else ()
-    terms = _terms(df, text, min_token_chars, stop_words)
-    once = F.transform(F.array_distinct("_terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"), F.lit(0).alias("tf")))
-    each = F.transform("_terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("df"), F.lit(1).alias("tf")))
     n_rows = df.select(F.count(F.lit(1))).scalar()
     stats = (
-        terms.select(F.inline(F.concat(each, once)))
+        _term_counts(_kept_tokens(df, text, min_token_chars, stop_words))
         .groupBy("term")
         .agg(F.sum("df").alias("df"), F.sum("tf").alias("total"))
         .filter(F.col("df") >= min_df)
