@@ -6,11 +6,13 @@ per token of the second list, so whole texts are compared in O(n*m/64).
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketgrain.functions.batches import unpacked
+
 ColumnOrName = Column | str
 
 
@@ -30,10 +32,10 @@ def lcs_length(left, right) -> int:
     return (full ^ row).bit_count()
 
 
-def _lcs_batch(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([lcs_length(a, b) for a, b in zip(left, right)], dtype="int64")
+def _lcs_batch(left: pa.Array, right: pa.Array) -> pa.Array:
+    return pa.array([lcs_length(a, b) for some, others in unpacked(left, right) for a, b in zip(some, others)], pa.int64())
 
 
 def lcs_tokens(left: ColumnOrName, right: ColumnOrName) -> Column:
     """Length of the longest common subsequence, Arrow batch by Arrow batch."""
-    return F.pandas_udf(_lcs_batch, T.LongType())(left, right)
+    return F.arrow_udf(_lcs_batch, T.LongType())(left, right)
