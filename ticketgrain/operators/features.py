@@ -43,7 +43,7 @@ def encode_labels(df: DataFrame, label: str, index: DataFrame, name: str = "labe
 
 # --- vocabulary ---------------------------------------------------------------
 # Tasks pass their counts on when they hold more distinct tokens or terms than this.
-_COUNTED = 500_000
+_COUNTED = 200_000
 # Rows that are encoded together.
 _BLOCK = 1024
 
