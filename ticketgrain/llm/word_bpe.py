@@ -4,6 +4,9 @@ The file's pre-tokenizer drops white space, so a text's ids are those of its wor
 A word of plain letters followed by ASCII punctuation is two such pieces; its letters may be
 lower-cased beforehand, as the file's normalizer would.  All other words, among them any with
 a special token's string, go to the library as they are.
+
+Words are cut, numbered and cut into pieces as columns of bytes; only distinct pieces become
+Python objects, and the ids of all words are put together from the columns of distinct ones.
 """
 
 from __future__ import annotations
@@ -13,11 +16,21 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 # letters whose lower case is one letter of the same set, composed as NFC wants them; ASCII punctuation but "'"
-LETTERS = re.compile("[a-zß-öø-ÿ]+")
-WORDS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)\n|([^\n]+)\n")
+LETTERS = re.compile(b"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])++")
+_BYTES = np.arange(256)
+_SPACE = np.isin(_BYTES, list(b" \t\n\r\x0b\x0c"))
+_UPPER = (_BYTES >= 65) & (_BYTES <= 90)
+_LETTER = _UPPER | (_BYTES >= 97) & (_BYTES <= 122)
+_MARK = (_BYTES > 32) & (_BYTES < 127) & ~_LETTER & ~np.isin(_BYTES, list(b"'0123456789"))
+# À to ÿ but the two signs among them: this byte, and one of those
+_LATIN = 0xC3
+_LATIN_LETTER = (_BYTES >= 0x80) & (_BYTES <= 0xBF) & ~np.isin(_BYTES, [0x97, 0xB7])
+_LATIN_UPPER = _LATIN_LETTER & (_BYTES <= 0x9E)
 MEMO_ENTRIES = 250_000
 JOINED = 2_000
 
@@ -58,46 +71,85 @@ class WordEncoder:
         vocab = self.whole.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.last[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
-        self.words, self.pieces = _Memo(entries), _Memo(entries)
+        self.known = _Memo(entries)
 
     def encode(self, texts: Iterable[bytes]) -> list[bytes]:
-        split = [text.split() for text in texts]  # bytes.split cuts at ASCII white space only
-        self._learn(self.words.missing(set().union(*split)))
-        ids_of = self.words.__getitem__
-        return [b"".join(map(ids_of, parts)) for parts in split]
+        texts = list(texts)
+        data = np.frombuffer(b"\n".join([b"", *texts, b""]), dtype=np.uint8)
+        space = _SPACE[data]
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1  # where words begin and end, in turn
+        begins, ends = edges[::2], edges[1::2]
+        if not len(begins):
+            return [b""] * len(texts)
+        words = _column(data[~space], ends - begins).dictionary_encode()
+        ids = self._ids(words.dictionary).take(words.indices)
+        _, places, held = ids.buffers()
+        places, held = np.frombuffer(places, np.int64, len(ids) + 1, 8 * ids.offset), memoryview(held or b"")
+        at = places[np.searchsorted(begins, np.cumsum([1, *(len(t) + 1 for t in texts)]))].tolist()
+        return [bytes(held[a:b]) for a, b in zip(at, at[1:], strict=False)]
+
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words, none of them empty."""
+        letters, tails = (p.dictionary_encode() for p in pieces(words))
+        keys, tail_keys = (p.dictionary.to_numpy(zero_copy_only=False).tolist() for p in (letters, tails))
+        self._learn(self.known.missing({*keys, *tail_keys}))
+        first, second = (
+            pa.array(map(self.known.__getitem__, k), pa.large_binary()).take(p.indices)
+            for k, p in ((keys, letters), (tail_keys, tails))
+        )
+        return pc.binary_join_element_wise(first, second, pa.scalar(b"", pa.large_binary()))
 
     def _learn(self, missing: list[bytes]) -> None:
-        if not missing:
-            return
-        lines = (b"\n".join(missing) + b"\n").decode("utf-8", "replace")
-        letters, tails, others = zip(*WORDS.findall(lines), strict=True)
-        heads = [low or other for low, other in zip(map(str.lower, letters), others, strict=True)]
-        new = self.pieces.missing({"", *heads, *tails})
-        known = self.pieces
-        simple = [p for p in new if LETTERS.fullmatch(p)]
-        ascii_only = [p for p in simple if p.isascii()]
+        ascii_only = [p for p in missing if p.isalpha()]  # of bytes: only ASCII letters
+        others = [p for p in missing if not p.isalpha()]
+        simple = [p for p in others if LETTERS.fullmatch(p)]
         self._joined(self.plain, ascii_only)
-        self._joined(self.letters, [p for p in simple if not p.isascii()])
-        rest = [p for p in new if not LETTERS.fullmatch(p)]
-        known.update(zip(rest, self._whole(rest), strict=True))
-        ids = [a + b for a, b in zip(map(known.__getitem__, heads), map(known.__getitem__, tails), strict=True)]
-        self.words.update(zip(missing, ids, strict=True))
-
-    def _joined(self, tokenizer: Tokenizer, pieces: list[str]) -> None:
-        """A piece's last token, and no other, ends a word."""
-        for i in range(0, len(pieces), JOINED):
-            part = pieces[i : i + JOINED]
-            (done,) = tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+        self._joined(self.letters, simple)
+        rest = list(set(others).difference(simple))
+        self.known.update(zip(rest, self._whole([p.decode("utf-8", "replace") for p in rest]), strict=True))
+
+    def _joined(self, tokenizer: Tokenizer, words: list[bytes]) -> None:
+        """A word's last token, and no other, ends a word."""
+        for i in range(0, len(words), JOINED):
+            part = words[i : i + JOINED]
+            (done,) = tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
             tokens = np.array(done.ids, dtype="<u4")
             ends = [0, *(4 * (np.flatnonzero(self.last[tokens]) + 1)).tolist()]
             ids = tokens.tobytes()
-            self.pieces.update(zip(part, [ids[a:b] for a, b in zip(ends, ends[1:])], strict=True))
+            self.known.update(zip(part, [ids[a:b] for a, b in zip(ends, ends[1:])], strict=True))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         done = self.whole.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
 
 
+def _column(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Pieces of ``data`` of these lengths, one after the other."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def pieces(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """The lower-cased letters of each word and the punctuation behind them; any other word whole, and nothing."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, np.int32, len(words) + 1, 4 * words.offset)
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    begins, lengths = offsets[:-1] - offsets[0], np.diff(offsets)
+    inner = np.ones(len(data), bool)  # not a word's first byte
+    inner[begins] = False
+    latin = np.zeros(len(data), bool)  # the second bytes of letters beyond ASCII
+    latin[1:] = (data[:-1] == _LATIN) & _LATIN_LETTER[data[1:]] & inner[1:]
+    letter, mark = _LETTER[data] | latin, _MARK[data]
+    letter[:-1] |= latin[1:]
+    odd = ~(letter | mark) | mark & ~inner
+    odd[1:] |= letter[1:] & mark[:-1] & inner[1:]
+    plain = ~np.logical_or.reduceat(odd, begins)
+    head = np.where(plain, np.add.reduceat(letter, begins, dtype=np.int32), lengths)
+    lowered = np.where((_UPPER[data] | latin & _LATIN_UPPER[data]) & np.repeat(plain, lengths), data + 32, data)
+    in_head = np.arange(len(data)) < np.repeat(begins + head, lengths)
+    return _column(lowered[in_head], head), _column(data[~in_head], lengths - head)
+
+
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
