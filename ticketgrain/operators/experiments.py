@@ -42,8 +42,11 @@ def best_so_far(epochs: DataFrame) -> DataFrame:
 
 
 def summarize(epochs: DataFrame, runs: DataFrame) -> DataFrame:
-    """Run settings with best and last figures (one row per run on both sides)."""
-    return best_and_last(epochs).join(runs, "exp")
+    """Run settings with best and last figures (one row per run on both sides).
+
+    Both sides grow alike: sent whole to every task, the runs would take most of its memory.
+    """
+    return best_and_last(epochs).join(runs.hint("merge"), "exp")
 
 
 def select_runs(runs: DataFrame, names: Sequence[str]) -> DataFrame:

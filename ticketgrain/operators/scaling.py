@@ -4,6 +4,7 @@
 * ``lookup_join``       join a table with unique keys; the planner picks the join
 * ``salted_join``       join against a unique-keyed side when the other side has hot keys
 * ``global_row_number`` dense 1..n numbering without a single-task sort of big data
+* ``by_key``            a stored table placed by key, in tasks of a bounded number of rows
 * ``top_by_count``      the most frequent rows, numbered, without a single-task sort
 """
 
@@ -19,6 +20,8 @@ from ticketgrain.session import scratch_path
 SALTS = 32
 # Counts are put into so many buckets for each doubling when a top is cut.
 BUCKETS_PER_DOUBLING = 16
+# Groups of up to so many rows fit a task's memory several times over.
+ROWS_PER_TASK = 250_000
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -58,6 +61,17 @@ def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     return big.join(small, list(on), how)
 
 
+def by_key(stored: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a stored table placed by ``keys``, in so many partitions that each has few rows.
+
+    The count comes from the files' footers.  Groupings by these keys and more, and joins on
+    the keys, stay in the partitions, so the memory of one task does not grow with the table.
+    All rows of a key are in one task: not for keys that many rows share.
+    """
+    usual = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored.repartition(max(usual, -(-stored.count() // ROWS_PER_TASK)), *keys)
+
+
 def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str, start: int = 1) -> DataFrame:
     """Number all rows ``start, start+1, ...`` in the given total order.
 

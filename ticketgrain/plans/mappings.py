@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ticketgrain.functions import text as tx
 from ticketgrain.operators.generation import pair_by_key
+from ticketgrain.operators.scaling import by_key
 from ticketgrain.plans.registry import table
 
 # --- documents as tickets -----------------------------------------------------
@@ -141,9 +142,10 @@ def steps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def epochs(spark: SparkSession, sf: str) -> DataFrame:
+    """Placed by run, over more tasks the more steps there are: what joins or groups by run stays there."""
     n = F.count(F.lit(1))
     return (
-        table(spark, sf, "lineitem")
+        by_key(table(spark, sf, "lineitem"), "l_orderkey")
         .groupBy(F.col("l_orderkey").alias("exp"), F.col("l_linenumber").cast("long").alias("epoch"))
         .agg(
             F.avg("l_discount").alias("train_loss"),
