@@ -147,6 +147,62 @@ def test_components(spark):
     assert components(edges.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_components_by_joins_and_by_lookups(spark, few):
+    """Both ways give the components of a plain union of all edges; repeated edges and either order are allowed."""
+    rng = random.Random(5)
+    ids = [rng.randrange(-(2**63), 2**63) for _ in range(120)]
+    hub = [(ids[0], x) for x in ids[1:30]] + [(max(ids), x) for x in ids[30:50] if x != max(ids)]
+    pairs = hub + list(zip(ids[50:80], ids[51:81])) + [tuple(rng.sample(ids[85:], 2)) for _ in range(30)]
+    pairs += pairs[::5] + [(b, a) for a, b in pairs[::7]]
+    root = {x: x for p in pairs for x in p}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    found = [tuple(r) for r in components(spark.createDataFrame(pairs, "a long, b long"), few).collect()]
+    assert sorted(found) == sorted((x, find(x)) for x in root)
+
+
+def test_groups_stage_few_tables(spark, monkeypatch):
+    """A drifting group, whose members differ from the next in one word, and a crowded one."""
+    from ticketgrain.llm import simhash as module
+
+    names, staged = [], module.staged
+    monkeypatch.setattr(module, "staged", lambda df, name: names.append(name) or staged(df, name))
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(500)]
+    text, rows = [rng.choice(words) for _ in range(300)], []
+    for doc_id in range(60):
+        text = [*text]
+        text[rng.randrange(300)] = "changed"
+        rows.append((doc_id, " ".join(text)))
+    text = [rng.choice(words) for _ in range(3000)]
+    for doc_id in range(60, 100):
+        rows.append((doc_id, " ".join([*text[: 50 * (doc_id - 60)], "other", *text[50 * (doc_id - 60) :]])))
+    wanted, _ = plain_groups(rows)
+    assert odd.bag(near_duplicates(odd.table(spark, rows))) == wanted
+    assert names[:2] == ["fingerprints", "fingerprint-nodes"] and set(names[2:]) == {"edges"} and len(names) <= 7, names
+
+
+def test_few_edges_are_contracted_in_two_shuffles(spark, tmp_path):
+    from ticketgrain.llm.simhash import contracted
+
+    spark.createDataFrame([(2, 1), (3, 2), (3, 2)], "a long, b long").write.parquet(str(tmp_path / "edges"))
+    edges = spark.read.parquet(str(tmp_path / "edges"))
+    few = contracted(edges, True)
+    found = few.collect()
+    assert {tuple(r) for r in found} == {(2, 1), (3, 1)} and len(found) == 3
+    assert sorted(tuple(r) for r in contracted(edges, False).collect()) == [(2, 1), (3, 1)]
+    plan = few._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 5  # two pointers, twice, and the minima
+
+
 # --- lines ---------------------------------------------------------------------
 def plain_dedup(rows, least):
     """Every run with enough words whose content stands at an earlier place is marked."""

@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketgrain.llm.common import NULL_ID, id_and_text, map_texts, order_id, quoted, staged
@@ -30,6 +30,10 @@ BITS = 64
 SEED = 42
 # Table entries of more fingerprints are met by whole keys.
 ENTRY = 8
+# So many edges, or pointers of their nodes, are looked up in a broadcast table (some MB).
+FEW_EDGES = 100_000
+# Pointers followed in one contraction.
+HOPS = 2
 
 
 def shingle_hashes(text: bytes, width: int = SHINGLE_WORDS) -> list[int]:
@@ -91,20 +95,27 @@ def segment_values(segments: int, radius: int):
     return F.concat(*map(values, range(segments)))
 
 
-def whole_key_links(nodes: DataFrame, bits: int) -> DataFrame:
-    """a, b: fingerprints linked to one within ``bits`` bits; what they connect is exact.
+def met_links(found: DataFrame, bits: int) -> DataFrame:
+    """a, b: links from rows (fp, alike, hot); what they connect is exact.
 
-    Keys lie within ``bits // 2`` of the one side of a pair and within the rest of the other.
+    Fingerprints with links of their own meet at themselves, with those in ``alike``.  The hot ones
+    meet at whole keys, which lie within ``bits // 2`` of the one side of a pair and within the rest
+    of the other, so at most as many meet as there are values within the rest: 65 at two bits.
     """
     near, far = bits // 2, bits - bits // 2
-    met = nodes.select("fp", F.explode(ball(F.col("fp"), BITS, far)).alias("met"))
-    on_near_side = F.bit_count(F.col("fp").bitwiseXOR(F.col("met"))) <= near
-    least = met.groupBy("met").agg(F.min(F.when(on_near_side, F.col("fp"))).alias("b"), F.count(F.lit(1)).alias("n"))
-    return met.join(least.filter("n > 1").drop("n"), "met").filter("fp != b").select(F.col("fp").alias("a"), "b")
+    place = lambda own, key, fp: F.struct(F.lit(own).alias("own"), key.alias("met"), fp.alias("fp"))
+    own = F.transform(F.array_append("alike", F.col("fp")), lambda o: place(True, F.col("fp"), o))
+    keys = F.transform(ball(F.col("fp"), BITS, far), lambda key: place(False, key, F.col("fp")))
+    places = F.concat(F.when(F.size("alike") > 0, own).otherwise(F.slice(own, 1, 0)), F.when(F.col("hot"), keys).otherwise(F.slice(own, 1, 0)))
+    met = found.select(F.inline(places))
+    near_side = F.col("own") | (F.bit_count(F.col("fp").bitwiseXOR(F.col("met"))) <= near)
+    least = F.min(F.when(near_side, F.col("fp"))).alias("b")
+    groups = met.groupBy("own", "met").agg(least, F.collect_list("fp").alias("fps")).filter("size(fps) > 1")
+    return groups.select(F.explode("fps").alias("a"), "b").filter("a != b")
 
 
 def links(nodes: DataFrame, bits: int = MAX_BITS, segments: int = SEGMENTS, entry: int = ENTRY) -> DataFrame:
-    """a, b: distinct fingerprints (column fp) linked to others; what they connect is exact.
+    """a, b: fingerprints (column fp, distinct) linked to others, pairs may repeat; what they connect is exact.
 
     ``segments`` divides 64.  Probes grow with the ball around a segment, whole keys of crowded
     entries with that around a fingerprint: 64 choose half of the bits.
@@ -113,43 +124,53 @@ def links(nodes: DataFrame, bits: int = MAX_BITS, segments: int = SEGMENTS, entr
         raise ValueError("segments of unequal length")
     key = ["segment", "value"]
     entries = nodes.select("fp", F.inline(segment_values(segments, 0)))
-    sizes = entries.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    crowded = sizes.filter(F.col("n") > entry)
-    few = entries.join(sizes.filter(F.col("n") <= entry), key).groupBy(key).agg(F.collect_list("fp").alias("others"))
-    table = few.unionByName(crowded.select(*key, F.lit(None).cast("array<long>").alias("others")))
+    # one more than fit tells that an entry is crowded; the limit holds before the shuffle, too
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("fp"))
+    table = entries.withColumn("place", place).filter(F.col("place") <= entry + 1).groupBy(key).agg(F.collect_list("fp").alias("others"))
     probes = nodes.select("fp", F.inline(segment_values(segments, bits // segments)))
-    alike = F.filter("others", lambda o: (o < F.col("fp")) & (F.bit_count(o.bitwiseXOR(F.col("fp"))) <= bits))
-    found = probes.join(table, key).select("fp", alike.alias("alike"))
-    found = staged(found.filter("alike IS NULL OR size(alike) > 0"), "segment-matches")
-    direct = found.select(F.col("fp").alias("a"), F.explode("alike").alias("b"))
-    hot = found.filter("alike IS NULL").select("fp").distinct()
-    return direct.unionByName(whole_key_links(hot, bits)).distinct()
+    near = F.filter("others", lambda o: (o < F.col("fp")) & (F.bit_count(o.bitwiseXOR(F.col("fp"))) <= bits))
+    found = probes.join(table, key).select("fp", F.when(F.size("others") <= entry, near).alias("alike"))
+    found = found.filter("alike IS NULL OR size(alike) > 0")
+    hot = F.bool_or(F.col("alike").isNull()).alias("hot")
+    return met_links(found.groupBy("fp").agg(hot, F.flatten(F.collect_list("alike")).alias("alike")), bits)
 
 
-def components(edges: DataFrame) -> DataFrame:
+def contracted(edges: DataFrame, few: bool) -> DataFrame:
+    """Edges (a, b), a > b, that connect the same nodes over shorter ways; stars on the least node stay as they are.
+
+    A node points to its smallest neighbour, if that is smaller.  The smaller end of every edge
+    goes ``HOPS`` pointers on, then a node's ends are linked to the smallest of them.  Minima are
+    pre-aggregated; the joins back are lookups in a broadcast table if the edges are ``few``,
+    else the edges of a hub can be split by the adaptive planner.
+    """
+    lookup = F.broadcast if few else (lambda table: table)
+    single = (lambda rows: rows) if few else DataFrame.distinct  # few repeated rows cost less than a shuffle
+    pointers = lookup(edges.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("low")))
+    for _ in range(HOPS):
+        edges = edges.join(pointers, "b", "left").select("a", F.coalesce("low", "b").alias("b"))
+    edges = single(edges)
+    ends = edges.join(lookup(edges.groupBy("a").agg(F.min("b").alias("low"))), "a")
+    # each node has an edge to its least end, so every row gives one row
+    return single(ends.select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b")))
+
+
+def components(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """node, root (the smallest reachable node) of every node of the edges (a, b), a != b.
 
-    Alternates two contractions until nothing changes: every node's larger neighbours are linked
-    to its smallest neighbour, then its smaller ones are.  Minima are pre-aggregated, and the
-    joins back to the edges of a hub can be split by the adaptive planner.
+    The edges are contracted until nothing changes.
     """
     edges = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.filter("a != b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(least, "a")
-        moved = small.filter("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        edges = staged(moved.unionByName(least.select("a", F.col("low").alias("b"))).distinct(), "edges")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:  # every node hangs on its component's root now
-            break
-        seen = state
-    roots = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    seen, state = None, _state(edges)
+    while state[0] and state != seen:  # if the same, every node hangs on its component's root
+        edges = staged(contracted(edges, state[0] <= few), "edges")
+        seen, state = state, _state(edges)
+    own = F.struct(F.col("b").alias("node"), F.col("b").alias("root"))
+    return edges.select(F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("root")), own))).distinct()
+
+
+def _state(edges: DataFrame) -> tuple:
+    """Number of edges and sum of their hashes."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
