@@ -6,6 +6,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.llm import odd
@@ -203,6 +204,19 @@ def test_few_edges_are_contracted_in_two_shuffles(spark, tmp_path):
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 5  # two pointers, twice, and the minima
 
 
+def test_tables_that_grow_are_merged(spark, tmp_path):
+    """A ball has 66 rows for each fingerprint, of which the planner's sizes know nothing: no plan may broadcast by them."""
+    from ticketgrain.llm.simhash import contracted, links
+
+    spark.range(2000).select(F.xxhash64("id").alias("fp")).write.parquet(str(tmp_path / "nodes"))
+    spark.range(2000).selectExpr("id + 1 AS a", "id DIV 2 AS b").write.parquet(str(tmp_path / "edges"))
+    nodes, edges = (spark.read.parquet(str(tmp_path / name)) for name in ("nodes", "edges"))
+    for df in (links(nodes), contracted(edges, False), near_duplicates(odd.table(spark, near_rows()))):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert links(nodes).count() == 0
+
+
 # --- lines ---------------------------------------------------------------------
 def plain_dedup(rows, least):
     """Every run with enough words whose content stands at an earlier place is marked."""

@@ -11,6 +11,10 @@ side links to the smallest on its near side, which needs one row for each finger
 pairs, and connects the same components.
 
 Copies share a fingerprint and are one node of the graph.
+
+Joins are merged by hint: the planner sizes a staged table by its compressed file and a ball like the
+one row it is made from, so it would broadcast tables that the driver cannot hold.  What is broadcast
+by hand is bounded by ``FEW_EDGES``.
 """
 
 from __future__ import annotations
@@ -129,7 +133,7 @@ def links(nodes: DataFrame, bits: int = MAX_BITS, segments: int = SEGMENTS, entr
     table = entries.withColumn("place", place).filter(F.col("place") <= entry + 1).groupBy(key).agg(F.collect_list("fp").alias("others"))
     probes = nodes.select("fp", F.inline(segment_values(segments, bits // segments)))
     near = F.filter("others", lambda o: (o < F.col("fp")) & (F.bit_count(o.bitwiseXOR(F.col("fp"))) <= bits))
-    found = probes.join(table, key).select("fp", F.when(F.size("others") <= entry, near).alias("alike"))
+    found = probes.join(table.hint("merge"), key).select("fp", F.when(F.size("others") <= entry, near).alias("alike"))
     found = found.filter("alike IS NULL OR size(alike) > 0")
     hot = F.bool_or(F.col("alike").isNull()).alias("hot")
     return met_links(found.groupBy("fp").agg(hot, F.flatten(F.collect_list("alike")).alias("alike")), bits)
@@ -141,9 +145,9 @@ def contracted(edges: DataFrame, few: bool) -> DataFrame:
     A node points to its smallest neighbour, if that is smaller.  The smaller end of every edge
     goes ``HOPS`` pointers on, then a node's ends are linked to the smallest of them.  Minima are
     pre-aggregated; the joins back are lookups in a broadcast table if the edges are ``few``,
-    else the edges of a hub can be split by the adaptive planner.
+    else merges, where the edges of a hub can be split by the adaptive planner.
     """
-    lookup = F.broadcast if few else (lambda table: table)
+    lookup = F.broadcast if few else (lambda table: table.hint("merge"))
     single = (lambda rows: rows) if few else DataFrame.distinct  # few repeated rows cost less than a shuffle
     pointers = lookup(edges.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("low")))
     for _ in range(HOPS):
@@ -179,10 +183,10 @@ def _grouped(rows: DataFrame) -> DataFrame:
         rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.min(F.struct(order_id().alias("key"), "tie")).alias("first")),
         "fingerprint-nodes",
     )
-    rooted = nodes.join(components(links(nodes)).withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = nodes.join(components(links(nodes)).withColumnRenamed("node", "fp").hint("merge"), "fp", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "fp"))
     groups = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.min("first").alias("first"))
-    return rooted.select("fp", "root").join(groups, "root").select("fp", "component_id", "first")
+    return rooted.select("fp", "root").join(groups.hint("merge"), "root").select("fp", "component_id", "first")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = staged(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
     written = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return (
-        rows.join(_grouped(rows).select("fp", "component_id"), "fp")
+        rows.join(_grouped(rows).select("fp", "component_id").hint("merge"), "fp")
         .select("doc_id", written.alias("fingerprint"), "component_id")
     )
 
